@@ -1,0 +1 @@
+"""Empty on purpose: the warehouse is loaded in batches and has no streaming operator."""
