@@ -34,19 +34,19 @@ def new_or_changed(
     With ``key`` and a known, small ``staged_rows`` the history is first reduced to the staged keys by a
     broadcast semi join, and an incremental load does not shuffle the whole history.
     """
-    defaults = dict(null_defaults or {})
     attributes = [c for c in staging.columns if c != ts]
     compare = list(compare or attributes)
+    defaults = null_defaults or {}
 
-    def comparable(c: Column, name: str) -> Column:
-        return F.coalesce(c, F.lit(defaults[name])) if name in defaults else c
+    def comparable(name: str) -> Column:
+        return F.coalesce(name, F.lit(defaults[name])) if name in defaults else F.col(name)
 
-    batch = staging.groupBy(*attributes).agg(F.max(ts).alias(ts))
-    seen = history.select(*(comparable(F.col(c), c).alias(f"_seen_{c}") for c in compare))
+    seen = history.select(*(comparable(c).alias(f"_seen_{c}") for c in compare))
     if key is not None and staged_rows is not None and staged_rows <= SMALL_BATCH_ROWS:
         staged = staging.select(F.col(key).alias("_staged")).distinct()
         seen = seen.join(F.broadcast(staged), F.col(f"_seen_{key}") == F.col("_staged"), "left_semi")
-    equal = reduce(lambda a, b: a & b, (comparable(F.col(c), c) == F.col(f"_seen_{c}") for c in compare))
+    equal = reduce(lambda a, b: a & b, (comparable(c) == F.col(f"_seen_{c}") for c in compare))
+    batch = staging.groupBy(*attributes).agg(F.max(ts).alias(ts))
     return batch.join(seen, equal, "left_anti").select(*attributes, ts)
 
 

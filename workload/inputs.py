@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import key_from_date
+from tidemark.operators.latest import newest_per_key
 from tidemark.schemas import NOT_APPLICABLE, NOT_APPLICABLE_KEY, SALES, TS
 
 # One stamp for dimensions that are loaded once.
@@ -231,5 +230,25 @@ def order_dates(t: Tables) -> DataFrame:
     )
 
 
-def union_all(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def sheets(t: Tables) -> dict[str, DataFrame]:
+    """All seven sheets of a full load: the newest row of each key, without its stamp."""
+    newest = {
+        "Customer_data": newest_per_key(customer_history(t), "customerkey"),
+        "Date_data": calendar(t),
+        "Product_data": newest_per_key(product_history(t), "productkey"),
+        "Reseller_data": reseller_history(t),
+        "Sales_data": newest_per_key(sales_history(t), "salesorderlinekey", tie_break=SALES_TIE_BREAK),
+        "Sales Order_data": newest_per_key(
+            order_label_history(t), "salesorderlinekey", tie_break=LABEL_TIE_BREAK
+        ),
+        "Sales Territory_data": territory_history(t),
+    }
+    return {name: df.drop(TS) for name, df in newest.items()}
+
+
+def earlier_sheets(t: Tables) -> dict[str, DataFrame]:
+    """The same sheets as an earlier load had them: resellers named otherwise, no sales shipped since 2000."""
+    earlier = sheets(t)
+    earlier["Reseller_data"] = earlier["Reseller_data"].withColumn("business_type", F.lit("Reseller"))
+    earlier["Sales_data"] = earlier["Sales_data"].where(F.col("shipdatekey") < 20000101)
+    return earlier

@@ -213,6 +213,51 @@ def pit_customer(floor: str) -> str:
     )
 
 
+# Each reseller's versions after a first load on 2000-06-01 and a second on 2001-01-01, and the mart over them: all
+# other dimensions have one version, whose range is open on both sides.
+TWICE_LOADED = {
+    "dim_reseller": """
+        select * replace ('Reseller' as business_type, timestamp '2000-06-01 00:00:00' as update_ts),
+               date '2000-01-01' as valid_from, date '2000-12-31' as valid_to, 0 as is_valid
+        from resellers where business_type is not null
+        union all
+        select * replace (timestamp '2001-01-01 12:00:00' as update_ts),
+               date '2001-01-01' as valid_from, date '3000-01-01' as valid_to, 1 as is_valid
+        from resellers""",
+    **{
+        f"dim_{name}": f"""
+            select distinct on ({key}) *, date '2000-01-01' as valid_from, date '3000-01-01' as valid_to
+            from {name}s order by {key}, update_ts desc"""
+        for name, key in (("customer", "customerkey"), ("product", "productkey"))
+    },
+    "dim_territory": ranged("territories", "salesterritorykey"),
+}
+
+# The sheet holds the newest label of each line, valid or not; only then are invalid ones left out.
+NEWEST_OF_ALL = f"""
+    select distinct on (salesorderlinekey) *,
+           contains(sales_order, (salesorderlinekey // 1000)::varchar)
+           and contains(sales_order_line, (salesorderlinekey // 1000)::varchar) as valid
+    from labels order by {LABEL_NEWEST}"""
+
+STEPS = """
+    select 'load src_sales_order_data_temp' as procedure_name, 'OK' as status, 1 as n_records, n_labels as n_rows from n
+    union all select 'load src_sales_territory_data_temp', 'OK', 1, n_territories from n
+    union all select 'load src_sales_data_temp', 'OK', 1, n_sales from n
+    union all select 'load src_reseller_data_temp', 'OK', 1, n_resellers from n
+    union all select 'load src_date_data_temp', 'OK', 1, n_days from n
+    union all select 'load src_product_data_temp', 'OK', 1, n_products from n
+    union all select 'load src_customer_data_temp', 'OK', 1, n_customers from n
+    union all select 'initial_temp_load_all_sheets', 'OK', 1, n_all from n
+    union all select 'fn_upload_src', 'STARTED', 1, null
+    union all select 'fn_upload_src', 'OK', 9, n_all from n
+    union all select 'sp_refresh_dims', 'STARTED', 6, null
+    union all select 'sp_refresh_dims', 'OK', 12, n_all - n_sales - n_labels + n_valid_labels from n
+    union all select 'sp_refresh_fct', 'STARTED', 1, null
+    union all select 'sp_refresh_fct', 'OK', 1, n_sales from n
+    union all select 'sp_refresh_sales_datamart', 'OK', 2, null
+    union all select 'initial_full_load_pipeline', 'OK', 1, n_all from n"""
+
 ORACLE: dict[str, str] = {
     "new_or_changed_strict": sql("select * from captured_customers"),
     "new_or_changed_null_default": sql(
@@ -314,4 +359,22 @@ ORACLE: dict[str, str] = {
                trim(regexp_replace(lower('  ' || p_name || '-(%) ' || p_brand || ' ' || p_type), '[^a-z0-9]+', '_', 'g'),
                     '_') as name
         from part""",
+    "published_fact": sql("select * from fact"),
+    "audit_log": sql(
+        "select procedure_name, status, cast(n_records as bigint) as n_records, cast(n_rows as bigint) as n_rows "
+        f"from ({STEPS})",
+        n="""
+            select *, n_labels + n_territories + n_sales + n_resellers + n_days + n_products + n_customers as n_all
+            from (select (select count(distinct salesorderlinekey) from labels) as n_labels,
+                         (select count(*) from newest_of_all where valid) as n_valid_labels,
+                         (select count(*) from territories) as n_territories,
+                         (select count(*) from newest_sales) as n_sales,
+                         (select count(*) from resellers) as n_resellers,
+                         (select count(*) from days) as n_days,
+                         (select count(distinct productkey) from products) as n_products,
+                         (select count(distinct customerkey) from customers) as n_customers)""",
+        newest_of_all=NEWEST_OF_ALL,
+    ),
+    "stored_reseller_dim": sql("select * from dim_reseller", **TWICE_LOADED),
+    "stored_mart": sql(MART, **TWICE_LOADED | {"newest_labels": f"select * from ({NEWEST_OF_ALL}) where valid"}),
 }

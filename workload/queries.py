@@ -19,12 +19,15 @@ from tidemark.operators.pit_join import pit_join
 from tidemark.operators.scd2 import current_versions, scd2_ranges
 from tidemark.operators.upsert import append_missing, upsert
 from tidemark.plans import mart
-from tidemark.schemas import FLOOR, SALES_ORDER, TS
+from tidemark.plans.run import run
+from tidemark.schemas import AUDIT_TABLE, FLOOR, MART_TABLE, RESELLER, SALES, SALES_ORDER, TS
+from tidemark.sources.store import Store
 from workload import inputs as i
 from workload.inputs import Tables
 
 EARLY_FLOOR = "1900-01-01"
-LOAD_TS = dt.datetime(2024, 1, 1)
+FIRST_LOAD = dt.datetime(2000, 6, 1)
+SECOND_LOAD = dt.datetime(2001, 1, 1, 12)
 AS_OF = dt.date(2024, 1, 15)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,3 +283,48 @@ def unmatched_facts(t: Tables) -> DataFrame:
 def normalized_names(t: Tables) -> DataFrame:
     decorated = F.concat(F.lit("  "), F.col("p_name"), F.lit("-(%) "), F.col("p_brand"), F.lit(" "), F.col("p_type"))
     return t.part.select(F.col("p_partkey").alias("productkey"), normalized(decorated).alias("name"))
+
+
+# --- stored tables and full runs ----------------------------------------------------------------------------------
+
+
+def new_store(t: Tables) -> Store:
+    """A warehouse of its own in the shared folder."""
+    return Store(t.spark, f"warehouse_{uuid.uuid4().hex}").create()
+
+
+@query
+def published_fact(t: Tables) -> DataFrame:
+    store = new_store(t)
+    store.publish(SALES.target, fact_sales(t), SALES.target_key, bucket_by=SALES.key)
+    return store.table(SALES.target)
+
+
+@query
+def audit_log(t: Tables) -> DataFrame:
+    """What one full run records, per step and status; the database's name is left out."""
+    store = new_store(t)
+    run(store, i.sheets(t), SECOND_LOAD)
+    step = F.substring_index("procedure_name", ".", -1).alias("procedure_name")
+    return store.table(AUDIT_TABLE).groupBy(step, "status").agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum("rows").alias("n_rows")
+    )
+
+
+@query
+def stored_mart(t: Tables) -> DataFrame:
+    """The mart after two loads: resellers have two versions, later sales came with the second load."""
+    store = loaded_twice(t)
+    return store.table(MART_TABLE)
+
+
+@query
+def stored_reseller_dim(t: Tables) -> DataFrame:
+    return loaded_twice(t).table(RESELLER.target)
+
+
+def loaded_twice(t: Tables) -> Store:
+    store = new_store(t)
+    run(store, i.earlier_sheets(t), FIRST_LOAD)
+    run(store, i.sheets(t), SECOND_LOAD, as_of=AS_OF)
+    return store
