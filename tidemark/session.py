@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # Hot keys: split oversized join partitions at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where an aggregate above could have used the join's partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
