@@ -246,9 +246,36 @@ def sheets(t: Tables) -> dict[str, DataFrame]:
     return {name: df.drop(TS) for name, df in newest.items()}
 
 
+def staged_sheets(t: Tables) -> dict[str, DataFrame]:
+    """The sheets as staged: stamped, and lines "shipped" before their order day have no ship date yet."""
+    staged = sheets(t)
+    shipped = F.when(F.col("shipdatekey") >= F.col("orderdatekey"), F.col("shipdatekey"))
+    staged["Sales_data"] = staged["Sales_data"].withColumn("shipdatekey", shipped)
+    return {name: df.withColumn(TS, loaded()) for name, df in staged.items()}
+
+
 def earlier_sheets(t: Tables) -> dict[str, DataFrame]:
-    """The same sheets as an earlier load had them: resellers named otherwise, no sales shipped since 2000."""
-    earlier = sheets(t)
-    earlier["Reseller_data"] = earlier["Reseller_data"].withColumn("business_type", F.lit("Reseller"))
-    earlier["Sales_data"] = earlier["Sales_data"].where(F.col("shipdatekey") < 20000101)
+    """What an earlier load had seen of the staged sheets: less, and some of it otherwise."""
+    earlier = {name: df.withColumn(TS, F.lit("2023-01-01 00:00:00").cast("timestamp_ntz"))
+               for name, df in staged_sheets(t).items()}
+
+    def changed(sheet: str, column: str, where: F.Column, value: F.Column) -> None:
+        earlier[sheet] = earlier[sheet].withColumn(column, F.when(where, value).otherwise(F.col(column)))
+
+    earlier["Customer_data"] = earlier["Customer_data"].where(F.col("postal_code") != "BUILDING")
+    earlier["Date_data"] = earlier["Date_data"].where(F.col("datekey") < 19990101)
+    earlier["Sales_data"] = earlier["Sales_data"].where(F.col("orderdatekey") < 20000101)
+    earlier["Sales Order_data"] = earlier["Sales Order_data"].where(F.col("channel") == "Internet")
+    changed("Product_data", "list_price", F.col("subcategory") == "PROMO", F.col("list_price") + 1)
+    changed("Reseller_data", "business_type", F.col("business_type") == "Debtor", F.lit("Reseller"))
+    changed("Sales_data", "unit_price", F.col("salesterritorykey") == 5, F.col("unit_price") + 1)
+    changed("Sales Territory_data", "group", F.col("country") == "ASIA", F.lit("Far East"))
     return earlier
+
+
+def first_load_sheets(t: Tables) -> dict[str, DataFrame]:
+    """The sheets of a first load: resellers named otherwise, no sales shipped since 2000."""
+    first = sheets(t)
+    first["Reseller_data"] = first["Reseller_data"].withColumn("business_type", F.lit("Reseller"))
+    first["Sales_data"] = first["Sales_data"].where(F.col("shipdatekey") < 20000101)
+    return first

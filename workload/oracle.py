@@ -213,6 +213,58 @@ def pit_customer(floor: str) -> str:
     )
 
 
+# The staged sheets, and what an earlier load had seen of them.
+STAGED = {
+    "customer_data": "select distinct on (customerkey) * from customers order by customerkey, update_ts desc",
+    "date_data": "select * from days",
+    "product_data": "select distinct on (productkey) * from products order by productkey, update_ts desc",
+    "reseller_data": "select * from resellers",
+    "sales_data": """
+        select * replace (if(shipdatekey >= orderdatekey, shipdatekey, null) as shipdatekey) from newest_sales""",
+    "sales_order_data": f"select distinct on (salesorderlinekey) * from labels order by {LABEL_NEWEST}",
+    "sales_territory_data": "select * rename (group_region as \"group\") from territories",
+}
+EARLIER = {
+    "customer_data": "select * from staged where postal_code <> 'BUILDING'",
+    "date_data": "select * from staged where datekey < 19990101",
+    "product_data": "select * replace (list_price + if(subcategory = 'PROMO', 1, 0) as list_price) from staged",
+    "reseller_data": """
+        select * replace (if(business_type = 'Debtor', 'Reseller', business_type) as business_type) from staged""",
+    "sales_data": """
+        select * replace (unit_price + if(salesterritorykey = 5, 1, 0) as unit_price) from staged
+        where orderdatekey < 20000101""",
+    "sales_order_data": "select * from staged where channel = 'Internet'",
+    "sales_territory_data": """
+        select * replace (if(country = 'ASIA', 'Far East', "group") as "group") from staged""",
+}
+COMPARED = {
+    "customer_data": "customerkey customer_id customer city state_province country_region postal_code",
+    "date_data": "datekey",
+    "product_data": "productkey sku product standard_cost list_price model subcategory category",
+    "reseller_data": "resellerkey reseller_id business_type reseller city state_province country_region postal_code",
+    "sales_data": "salesorderlinekey resellerkey customerkey productkey orderdatekey duedatekey salesterritorykey "
+                  "order_quantity unit_price extended_amount unit_price_discount_pct product_standard_cost "
+                  "total_product_cost sales_amount",
+    "sales_order_data": "channel salesorderlinekey sales_order sales_order_line",
+    "sales_territory_data": "salesterritorykey region country \"group\"",
+}
+NULL_DEFAULT = {
+    "product_data": " and coalesce(s.color, '') = coalesce(e.color, '')",
+    "sales_data": " and coalesce(s.shipdatekey, 0) = coalesce(e.shipdatekey, 0)",
+}
+
+
+def captured(table: str) -> str:
+    equal = " and ".join(f"s.{c} = e.{c}" for c in COMPARED[table].split()) + NULL_DEFAULT.get(table, "")
+    return sql(
+        f"""select * exclude (update_ts), max(update_ts) as update_ts from restamped s
+            where not exists (select 1 from earlier e where {equal}) group by all""",
+        staged=STAGED[table],
+        earlier=EARLIER[table],
+        restamped=f"select * replace ({LOADED} as update_ts) from staged",
+    )
+
+
 # Each reseller's versions after a first load on 2000-06-01 and a second on 2001-01-01, and the mart over them: all
 # other dimensions have one version, whose range is open on both sides.
 TWICE_LOADED = {
@@ -258,6 +310,12 @@ STEPS = """
     union all select 'sp_refresh_sales_datamart', 'OK', 2, null
     union all select 'initial_full_load_pipeline', 'OK', 1, n_all from n"""
 
+COHORTS = sql(
+    """select customerkey, year(min(orderdatekey)) || '-Q' || quarter(min(orderdatekey)) as cohor_y_q
+       from mart where customerkey <> -1 group by customerkey order by 2, 1""",
+    mart=MART, **dims("1900-01-01"),
+)
+
 ORACLE: dict[str, str] = {
     "new_or_changed_strict": sql("select * from captured_customers"),
     "new_or_changed_null_default": sql(
@@ -277,6 +335,10 @@ ORACLE: dict[str, str] = {
     "refresh_plan": sql(
         "select table_name, cast(rows_changed as bigint) as rows_changed from counts where rows_changed > 1"
     ),
+    **{f"captured_{table}": captured(table) for table in STAGED},
+    "dim_customer": sql(ranged("customers", "customerkey", as_of="2000-06-30")),
+    "dim_product": sql(ranged("products", "productkey", as_of="2000-06-30")),
+    "dim_reseller": sql(ranged("resellers", "resellerkey", as_of="2024-01-15")),
     "scd2_customer": sql(ranged("priorities", "customerkey", as_of="2000-06-30")),
     "scd2_events_same_day": sql(ranged("event_versions", "user_id", as_of="2024-01-15")),
     "scd2_part": sql(ranged("part_versions", "productkey", as_of="2000-06-30")),
@@ -329,11 +391,8 @@ ORACLE: dict[str, str] = {
     ),
     "sales_mart": sql(MART, **dims("1900-01-01")),
     "sales_mart_default_floor": sql(MART, **dims("2000-01-01")),
-    "customer_cohorts": sql(
-        """select customerkey, year(min(orderdatekey)) || '-Q' || quarter(min(orderdatekey)) as cohor_y_q
-           from mart where customerkey <> -1 group by customerkey order by 2, 1""",
-        mart=MART, **dims("1900-01-01"),
-    ),
+    "customer_cohorts": COHORTS,
+    "cohort_view": COHORTS,
     "duplicate_keys": sql(
         "select salesorderlinekey, update_ts, count(*) as n_rows from sales group by all having count(*) > 1"
     ),
@@ -359,6 +418,12 @@ ORACLE: dict[str, str] = {
                trim(regexp_replace(lower('  ' || p_name || '-(%) ' || p_brand || ' ' || p_type), '[^a-z0-9]+', '_', 'g'),
                     '_') as name
         from part""",
+    "csv_sheet": """
+        select p_partkey as productkey, 'P-' || p_partkey as sku, p_name as product, p_retailprice as standard_cost,
+               nullif(p_type, 'SMALL') as color, p_retailprice / 3 as list_price, p_brand as model,
+               p_type as subcategory, cast(p_size as varchar) as category,
+               timestamp '2000-06-01 00:00:00' as update_ts
+        from part""",
     "published_fact": sql("select * from fact"),
     "audit_log": sql(
         "select procedure_name, status, cast(n_records as bigint) as n_records, cast(n_rows as bigint) as n_rows "

@@ -9,18 +9,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import key_from_date
 from tidemark.functions.names import normalized
 from tidemark.operators import checks
 from tidemark.operators.changes import changed_counts, counts_as_json, new_or_changed, tables_to_refresh
 from tidemark.operators.labels import newest_order_labels, valid_order_labels
 from tidemark.operators.latest import newest_per_key, sales_fact
 from tidemark.operators.pit_join import pit_join
-from tidemark.operators.scd2 import current_versions, scd2_ranges
+from tidemark.operators.scd2 import current_versions, scd2_ranges, with_current_flag
 from tidemark.operators.upsert import append_missing, upsert
 from tidemark.plans import mart
+from tidemark.plans.refresh import refresh_dim, register_views
 from tidemark.plans.run import run
-from tidemark.schemas import AUDIT_TABLE, FLOOR, MART_TABLE, RESELLER, SALES, SALES_ORDER, TS
+from tidemark.plans.upload import captured as captured_rows
+from tidemark.schemas import (
+    AUDIT_TABLE, COHORT_VIEW, CUSTOMER, DATE, FLOOR, MART_TABLE, PRODUCT, RESELLER, SALES, SALES_ORDER, TERRITORY, TS,
+    UPLOAD_ORDER, Entity,
+)
+from tidemark.session import shared_dir
+from tidemark.sources.audit import AuditLog
+from tidemark.sources.sheets import conform, normalize_columns, read_sheet, stamp
 from tidemark.sources.store import Store
 from workload import inputs as i
 from workload.inputs import Tables
@@ -82,6 +89,21 @@ def refresh_plan(t: Tables) -> DataFrame:
     return tables_to_refresh(changed_counts(captured(t)))
 
 
+def capture_query(entity: Entity) -> None:
+    """Capture of one entity with its own compared columns and NULL defaults."""
+
+    def build(t: Tables) -> DataFrame:
+        staged, earlier = i.staged_sheets(t)[entity.sheet], i.earlier_sheets(t)[entity.sheet]
+        return new_or_changed(staged, earlier, entity.compared, entity.null_defaults)
+
+    build.__name__ = f"captured_{entity.history_table.removeprefix('src_')}"
+    query(build)
+
+
+for each in UPLOAD_ORDER:
+    capture_query(each)
+
+
 # --- type-2 dimensions --------------------------------------------------------------------------------------------
 
 
@@ -105,6 +127,21 @@ def scd2_territory(t: Tables) -> DataFrame:
     return scd2_ranges(territories(t), "salesterritorykey", as_of=AS_OF)
 
 
+@query
+def dim_customer(t: Tables) -> DataFrame:
+    return scd2_ranges(i.customer_history(t), "customerkey", as_of="2000-06-30")
+
+
+@query
+def dim_product(t: Tables) -> DataFrame:
+    return scd2_ranges(i.product_history(t), "productkey", as_of="2000-06-30")
+
+
+@query
+def dim_reseller(t: Tables) -> DataFrame:
+    return scd2_ranges(i.reseller_history(t), "resellerkey", as_of=AS_OF)
+
+
 @query
 def current_event_versions(t: Tables) -> DataFrame:
     return current_versions(scd2_events_same_day(t))
@@ -276,7 +313,7 @@ def unmatched_facts(t: Tables) -> DataFrame:
     )
 
 
-# --- names --------------------------------------------------------------------------------------------------------
+# --- sheets and names --------------------------------------------------------------------------------------------------------
 
 
 @query
@@ -285,6 +322,25 @@ def normalized_names(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("productkey"), normalized(decorated).alias("name"))
 
 
+@query
+def csv_sheet(t: Tables) -> DataFrame:
+    """Parts exported as CSV with decorated column names, read back as a staged product sheet."""
+    path = f"{shared_dir(t.spark)}/sheet_{uuid.uuid4().hex}"
+    t.part.select(
+        F.col("p_partkey").alias("ProductKey"),
+        F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias(" SKU "),
+        F.col("p_name").alias("Product"),
+        F.col("p_retailprice").alias("Standard Cost"),
+        F.when(F.col("p_type") == "SMALL", "NA").otherwise(F.col("p_type")).alias("Color"),
+        (F.col("p_retailprice") / 3).alias("List-Price"),
+        F.col("p_brand").alias("Model"),
+        F.col("p_type").alias("Subcategory"),
+        F.col("p_size").cast("string").alias("(Category)"),
+    ).write.option("header", True).csv(path)
+    sheet = stamp(normalize_columns(read_sheet(t.spark, path)), FIRST_LOAD)
+    return conform(sheet, PRODUCT.history_schema)
+
+
 # --- stored tables and full runs ----------------------------------------------------------------------------------
 
 
@@ -314,17 +370,35 @@ def audit_log(t: Tables) -> DataFrame:
 @query
 def stored_mart(t: Tables) -> DataFrame:
     """The mart after two loads: resellers have two versions, later sales came with the second load."""
-    store = loaded_twice(t)
+    store = new_store(t)
+    run(store, i.first_load_sheets(t), FIRST_LOAD)
+    run(store, i.sheets(t), SECOND_LOAD, as_of=AS_OF)
     return store.table(MART_TABLE)
 
 
 @query
 def stored_reseller_dim(t: Tables) -> DataFrame:
-    return loaded_twice(t).table(RESELLER.target)
+    """One dimension from sheet to table, loaded twice."""
+    store = new_store(t)
+    for sheets, load_ts in ((i.first_load_sheets(t), FIRST_LOAD), (i.sheets(t), SECOND_LOAD)):
+        rows = store.stage(RESELLER.staging_table, stamp(sheets[RESELLER.sheet], load_ts))
+        store.append_history(RESELLER, captured_rows(store, RESELLER, rows))
+    refresh_dim(store, AuditLog(store), RESELLER.target, AS_OF)
+    return store.table(RESELLER.target)
 
 
-def loaded_twice(t: Tables) -> Store:
+@query
+def cohort_view(t: Tables) -> DataFrame:
+    """The cohorts as a SQL user reads them: a view over the live mart over published tables."""
     store = new_store(t)
-    run(store, i.earlier_sheets(t), FIRST_LOAD)
-    run(store, i.sheets(t), SECOND_LOAD, as_of=AS_OF)
-    return store
+    dims = dimensions(t, EARLY_FLOOR)
+    for entity, df in (
+        (CUSTOMER, dims["customer"]), (PRODUCT, dims["product"]), (RESELLER, dims["reseller"]),
+        (TERRITORY, dims["territory"]),
+    ):
+        store.publish(entity.target, with_current_flag(df, AS_OF), entity.target_key)
+    store.publish(DATE.target, dims["calendar"], DATE.target_key)
+    store.publish(SALES_ORDER.target, dims["orders"], SALES_ORDER.target_key, bucket_by=SALES_ORDER.key)
+    store.publish(SALES.target, fact_sales(t), SALES.target_key, bucket_by=SALES.key)
+    register_views(store)
+    return t.spark.sql(f"SELECT * FROM {COHORT_VIEW}")
