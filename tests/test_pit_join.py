@@ -56,7 +56,7 @@ def test_equals_brute_force(make, how, overlapping, dense_versions):
 
 
 def test_large_list_of_dense_keys_is_not_broadcast(make, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.pit_join.SMALL_KEY_LIST", 0)
+    monkeypatch.setattr("tidemark.operators.bounds.SMALL_KEY_LIST", 0)
     facts, dim = sample(4, False)
     assert joined(make, facts, dim, "inner", dense_versions=2) == brute_force(facts, dim, "inner")
 
@@ -70,6 +70,15 @@ def test_one_version_matches_among_many_of_a_day(make):
     assert hours == [1, 23, 23]
 
 
+def test_text_keys(make):
+    facts, dim = sample(5, False)
+    text = [(n, str(k) if k is not None else None, d) for n, k, d in facts]
+    df = pit_join(make(text, "id bigint, k string, d date"),
+                  make([(str(k), a, b, v) for k, a, b, v in dim], DIM.replace("k bigint", "k string")), "k", "d")
+    expected = [(n, str(k), d, v) for n, k, d, v in brute_force(facts, dim, "inner")]
+    assert sorted((tuple(r) for r in df.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_same_names_are_refused(make):
     with pytest.raises(ValueError, match="rename"):
         pit_join(make([], FACT), make([], "k bigint, valid_from date, valid_to date, id bigint"), "k", "d")

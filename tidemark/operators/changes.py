@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many staged rows, their keys (8 bytes each) are broadcast to thin out the history first.
-SMALL_BATCH_ROWS = 1_000_000
+from tidemark.operators.bounds import is_small_key_list
 
 
 def new_or_changed(
@@ -42,7 +41,7 @@ def new_or_changed(
         return F.coalesce(name, F.lit(defaults[name])) if name in defaults else F.col(name)
 
     seen = history.select(*(comparable(c).alias(f"_seen_{c}") for c in compare))
-    if key is not None and staged_rows is not None and staged_rows <= SMALL_BATCH_ROWS:
+    if key is not None and is_small_key_list(staging, key, staged_rows):
         staged = staging.select(F.col(key).alias("_staged")).distinct()
         seen = seen.join(F.broadcast(staged), F.col(f"_seen_{key}") == F.col("_staged"), "left_semi")
     equal = reduce(lambda a, b: a & b, (comparable(c) == F.col(f"_seen_{c}") for c in compare))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.bounds import is_small_key_list
+
 RANGE = ("valid_from", "valid_to")
 
 # Keys with more versions than this are matched month by month.
 DENSE_VERSIONS = 64
-# Up to this many dense keys (16 bytes each), their list is broadcast.
-SMALL_KEY_LIST = 1_000_000
 
 
 def pit_join(
@@ -42,10 +42,11 @@ def pit_join(
     in_range = F.col(date_col).between(F.col("valid_from"), F.col("valid_to"))
     matches = (F.col(key) == F.col("_dim_key")) & in_range
 
+    columns = fact.columns
     dense = _dense_keys(versions, dense_versions)
     n_dense = dense.count()
     if n_dense:
-        if n_dense <= SMALL_KEY_LIST:
+        if is_small_key_list(dense, "_dense_key", n_dense):
             dense = F.broadcast(dense)
         slots = F.when(F.col("_lo").isNull(), F.array(F.lit(0))).otherwise(
             F.sequence(_slot(F.col("valid_from")), _slot(F.col("valid_to")))
@@ -56,15 +57,9 @@ def pit_join(
             .drop("_dense_key", "_lo", "_hi")
         )
         fact_slot = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_slot(F.col(date_col)))
-        columns = fact.columns
-        fact = fact.join(dense, F.col(key) == F.col("_dense_key"), "left").select(
-            *columns, fact_slot.alias("_slot")
-        )
+        fact = fact.join(dense, F.col(key) == F.col("_dense_key"), "left").select(*columns, fact_slot.alias("_slot"))
         matches = matches & (F.col("_slot") == F.col("_dim_slot"))
-        fact_columns = columns
-    else:
-        fact_columns = fact.columns
-    return fact.join(versions, matches, how).select(*fact_columns, *attributes)
+    return fact.join(versions, matches, how).select(*columns, *attributes)
 
 
 def _month(date: Column) -> Column:
