@@ -9,8 +9,8 @@ from tidemark.operators.latest import newest_per_key, sales_fact
 from tidemark.operators.scd2 import scd2_ranges
 from tidemark.operators.upsert import append_missing, upsert
 from workload import inputs as i
-from workload.queries import QUERIES, new_store
 from workload.inputs import Tables
+from workload.queries import QUERIES, new_store
 
 
 def plan(df):
@@ -60,6 +60,13 @@ def test_capture_is_an_anti_join_after_partial_aggregation(t, large):
     assert text.count("HashAggregate") == 2
 
 
+def test_capture_by_key_reduces_a_repetitive_history_first(t, large):
+    dates = i.order_dates(t)
+    text = plan(new_or_changed(dates, dates, compare=["datekey"]))
+    history = text[text.rindex("Exchange"):]
+    assert "LeftAnti" in text and "HashAggregate" in history and "o_orderdate" in history
+
+
 def test_small_batch_thins_the_history_before_its_shuffle(t, large):
     labels = i.order_label_history(t)
     text = plan(new_or_changed(labels, labels, key="salesorderlinekey", staged_rows=10))
@@ -87,6 +94,8 @@ def test_tables_bucketed_by_line_key_join_without_a_shuffle(spark, t, large):
     joined = store.table("fct_sales_data").join(store.table("dim_sales_order_data"), "salesorderlinekey")
     text = plan(joined)
     assert "SortMergeJoin" in text and "Exchange" not in text
+    # One file per bucket: what the window has shuffled by line key is written as it lies.
+    assert len(store.table("fct_sales_data").inputFiles()) == 8
 
 
 def test_cohorts_read_only_what_they_need(spark, folder):

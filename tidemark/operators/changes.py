@@ -27,8 +27,9 @@ def new_or_changed(
     the newest: a return to old values is not captured.
 
     Copies are collapsed before the join, so a large group of copies shrinks on the map side. Joining on all
-    compared columns also spreads the versions of a hot key over all partitions. History rows with equal
-    non-NULL compared columns cannot pile up, since this operator never captures such a row twice.
+    compared columns also spreads the versions of a hot key over all partitions. On the history's side, rows with a
+    NULL are dropped before the shuffle, and others captured by all columns are distinct already; a history compared
+    by fewer columns may repeat them and is reduced to distinct values first.
 
     With ``key`` and a known, small ``staged_rows`` the history is first reduced to the staged keys by a
     broadcast semi join, and an incremental load does not shuffle the whole history.
@@ -41,6 +42,8 @@ def new_or_changed(
         return F.coalesce(name, F.lit(defaults[name])) if name in defaults else F.col(name)
 
     seen = history.select(*(comparable(c).alias(f"_seen_{c}") for c in compare))
+    if set(compare) != set(attributes):
+        seen = seen.distinct()
     if key is not None and is_small_key_list(staging, key, staged_rows):
         staged = staging.select(F.col(key).alias("_staged")).distinct()
         seen = seen.join(F.broadcast(staged), F.col(f"_seen_{key}") == F.col("_staged"), "left_semi")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ def pit_join(
     date_col: str,
     how: str = "inner",
     dense_versions: int = DENSE_VERSIONS,
+    n_dense: int | None = None,
 ) -> DataFrame:
     """``fact`` plus the attributes of the ``dim`` rows with the same key and ``date_col`` in their closed range.
 
@@ -31,20 +35,22 @@ def pit_join(
     That is fine while keys have few versions, and hopeless for a hot key with thousands. The versions per key are
     therefore counted first (a narrow aggregate over the dimension). If some keys are dense, their versions are
     spread over the months they cover and their facts join on key and month: a fact then meets the versions of
-    one month only, and the key's rows spread over many partitions.
+    one month only, and the key's rows spread over many partitions. ``n_dense`` passes that count in, where
+    ``count_dense_keys`` has made it for several dimensions at once.
     """
     attributes = [c for c in dim.columns if c != key and c not in RANGE]
     shared = set(attributes) & set(fact.columns)
     if shared:
         raise ValueError(f"rename before joining, columns on both sides: {sorted(shared)}")
 
-    versions = dim.where(F.col("valid_from") <= F.col("valid_to")).withColumnRenamed(key, "_dim_key")
+    versions = _versions(dim, key)
     in_range = F.col(date_col).between(F.col("valid_from"), F.col("valid_to"))
     matches = (F.col(key) == F.col("_dim_key")) & in_range
 
     columns = fact.columns
     dense = _dense_keys(versions, dense_versions)
-    n_dense = dense.count()
+    if n_dense is None:
+        n_dense = dense.count()
     if n_dense:
         if is_small_key_list(dense, "_dense_key", n_dense):
             dense = F.broadcast(dense)
@@ -62,6 +68,22 @@ def pit_join(
     return fact.join(versions, matches, how).select(*columns, *attributes)
 
 
+def count_dense_keys(
+    dims: Mapping[str, tuple[DataFrame, str]], dense_versions: int = DENSE_VERSIONS
+) -> dict[str, int]:
+    """For each named dimension and its key, how many keys have more versions than that: one job for all."""
+    counts = [
+        _dense_keys(_versions(dim, key), dense_versions).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name), "n")
+        for name, (dim, key) in dims.items()
+    ]
+    return {name: n for name, n in reduce(DataFrame.union, counts).collect()}
+
+
+def _versions(dim: DataFrame, key: str) -> DataFrame:
+    """Versions that can match at all, without the empty ranges of days with several versions."""
+    return dim.where(F.col("valid_from") <= F.col("valid_to")).withColumnRenamed(key, "_dim_key")
+
+
 def _month(date: Column) -> Column:
     return F.year(date) * 12 + F.month(date)
 
