@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         configure(SparkSession.builder.master("local[8]").appName("tests"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(shared))
         .config("spark.sql.warehouse.dir", str(shared / "warehouse"))

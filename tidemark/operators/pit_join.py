@@ -14,6 +14,8 @@ RANGE = ("valid_from", "valid_to")
 
 # Keys with more versions than this are matched month by month.
 DENSE_VERSIONS = 64
+# Parts into which rows of one key are spread while a list of dense keys too long to broadcast is looked up.
+SALTS = 32
 
 
 def pit_join(
@@ -52,18 +54,13 @@ def pit_join(
     if n_dense is None:
         n_dense = dense.count()
     if n_dense:
-        if is_small_key_list(dense, "_dense_key", n_dense):
-            dense = F.broadcast(dense)
+        small = is_small_key_list(dense, "_dense_key", n_dense)
         slots = F.when(F.col("_lo").isNull(), F.array(F.lit(0))).otherwise(
             F.sequence(_slot(F.col("valid_from")), _slot(F.col("valid_to")))
         )
-        versions = (
-            versions.join(dense, F.col("_dim_key") == F.col("_dense_key"), "left")
-            .withColumn("_dim_slot", F.explode(slots))
-            .drop("_dense_key", "_lo", "_hi")
-        )
+        versions = _with_bounds(versions, "_dim_key", dense, small).withColumn("_dim_slot", F.explode(slots))
         fact_slot = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_slot(F.col(date_col)))
-        fact = fact.join(dense, F.col(key) == F.col("_dense_key"), "left").select(*columns, fact_slot.alias("_slot"))
+        fact = _with_bounds(fact, key, dense, small).select(*columns, fact_slot.alias("_slot"))
         matches = matches & (F.col("_slot") == F.col("_dim_slot"))
     return fact.join(versions, matches, how).select(*columns, *attributes)
 
@@ -84,6 +81,22 @@ def _versions(dim: DataFrame, key: str) -> DataFrame:
     return dim.where(F.col("valid_from") <= F.col("valid_to")).withColumnRenamed(key, "_dim_key")
 
 
+def _with_bounds(df: DataFrame, key: str, dense: DataFrame, small: bool) -> DataFrame:
+    """Every row with ``_lo`` and ``_hi`` of its key, NULL if that is not dense.
+
+    A long list is not broadcast but listed once per salt: a hot key's rows spread over all salts.
+    """
+    if small:
+        looked_up = df.join(F.broadcast(dense), F.col(key) == F.col("_dense_key"), "left")
+    else:
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        salted = dense.withColumn("_dense_salt", F.explode(salts))
+        looked_up = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")).join(
+            salted, (F.col(key) == F.col("_dense_key")) & (F.col("_salt") == F.col("_dense_salt")), "left"
+        )
+    return looked_up.select(*df.columns, "_lo", "_hi")
+
+
 def _month(date: Column) -> Column:
     return F.year(date) * 12 + F.month(date)
 

@@ -257,7 +257,7 @@ def dimensions(t: Tables, floor: str) -> dict[str, DataFrame]:
 def mart_fallback_attributes(t: Tables) -> DataFrame:
     """Places of the customer, or of the reseller where the customer's do not apply."""
     sales = sales_fact(i.sales_history(t), i.SALES_TIE_BREAK).select("salesorderlinekey", "customerkey", "resellerkey")
-    customer = newest_per_key(i.customer_history(t), "customerkey").select(
+    customer = current_versions(scd2_ranges(i.customer_history(t), "customerkey", as_of=AS_OF)).select(
         "customerkey", *(F.col(c).alias(f"c_{c}") for c in mart.PLACES)
     )
     reseller = i.reseller_history(t).select("resellerkey", *(F.col(c).alias(f"r_{c}") for c in mart.PLACES))
@@ -387,9 +387,8 @@ def stored_reseller_dim(t: Tables) -> DataFrame:
     return store.table(RESELLER.target)
 
 
-@query
-def cohort_view(t: Tables) -> DataFrame:
-    """The cohorts as a SQL user reads them: a view over the live mart over published tables."""
+def published_store(t: Tables) -> Store:
+    """A warehouse with the sales history and all targets of the mart in place."""
     store = new_store(t)
     dims = dimensions(t, EARLY_FLOOR)
     for entity, df in (
@@ -399,6 +398,13 @@ def cohort_view(t: Tables) -> DataFrame:
         store.publish(entity.target, with_current_flag(df, AS_OF), entity.target_key)
     store.publish(DATE.target, dims["calendar"], DATE.target_key)
     store.publish(SALES_ORDER.target, dims["orders"], SALES_ORDER.target_key, bucket_by=SALES_ORDER.key)
-    store.publish(SALES.target, fact_sales(t), SALES.target_key, bucket_by=SALES.key)
-    register_views(store)
+    store.append_history(SALES, latest_per_line(t))
+    store.publish(SALES.target, sales_fact(store.table(SALES.history_table)), SALES.target_key, bucket_by=SALES.key)
+    return store
+
+
+@query
+def cohort_view(t: Tables) -> DataFrame:
+    """The cohorts as a SQL user reads them: a view over the live mart over published tables."""
+    register_views(published_store(t))
     return t.spark.sql(f"SELECT * FROM {COHORT_VIEW}")
