@@ -1,14 +1,18 @@
 import datetime as dt
+import random
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import sales_fact
-from tidemark.plans.refresh import live_mart, refresh_changed, refresh_dim, register_views
+from tidemark.operators.upsert import upsert
+from tidemark.plans.refresh import live_mart, refresh_changed, refresh_dim, refresh_fact, register_views
 from tidemark.plans.run import run
 from tidemark.plans.upload import upload_src
-from tidemark.schemas import BY_TARGET, CUSTOMER, MART_TABLE, SHEET_ORDER, TERRITORY, UPLOAD_ORDER
+from tidemark.schemas import (
+    BY_TARGET, CUSTOMER, MART_TABLE, SALES, SALES_ORDER, SHEET_ORDER, TERRITORY, UPLOAD_ORDER,
+)
 from tidemark.sources.audit import AuditLog
 from tidemark.sources.sheets import stamp
 from tidemark.sources.store import KeyCheckFailed, Store
@@ -143,9 +147,10 @@ def test_failing_refresh_leaves_the_dimension(store, make):
     store.append_history(TERRITORY, stamp(territories(make, (1, "a", "b", "c")), FIRST))
     assert refresh_dim(store, audit, TERRITORY.target, as_of) == "OK"
     # A second row of the same key and stamp, brought in past the checks.
-    path = f"{store.folder}/{TERRITORY.history_table}_loads/load_id=x"
+    path = f"{store.folder}/{TERRITORY.history_table}_loads/x"
     stamp(territories(make, (1, "z", "b", "c")), FIRST).write.parquet(path)
-    store.spark.sql(f"ALTER TABLE {store.database}.{TERRITORY.history_table}_loads ADD PARTITION (load_id = 'x')")
+    loads = f"{store.database}.{TERRITORY.history_table}_loads"
+    store.spark.sql(f"ALTER TABLE {loads} ADD PARTITION (load_no = 2) LOCATION '{path}'")
     assert refresh_dim(store, audit, TERRITORY.target, as_of) == "ERROR"
     assert store.table(TERRITORY.target).first().region == "a"
     assert [r[6] for r in audit.records] == ["STARTED", "OK", "OK", "STARTED", "ERROR", "ERROR"]
@@ -186,3 +191,59 @@ def test_upload_counts_staged_rows_itself(store, sheets, spark):
     assert upload.status == "OK"
     assert upload.counts["fct_sales_data"] == store.table("src_sales_data").count()
     assert sales_fact(store.table("src_sales_data")).count() == upload.counts["fct_sales_data"]
+
+
+def content(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_refreshing_load_by_load_equals_a_rebuild(store, make):
+    """Loads out of order, some pending for several refreshes, keys that return."""
+    audit = AuditLog(store)
+    rng = random.Random(5)
+    columns = "salesorderlinekey bigint, channel string, sales_order string, sales_order_line string"
+    sales_columns = [c for c in SALES.attributes if c != SALES.key]
+    for number, days in enumerate((40, 10, 70, 71, 20, 300)):
+        ts = FIRST + dt.timedelta(days=days)
+        keys = rng.sample(range(30), 12)
+        store.append_history(TERRITORY, stamp(territories(make, *((k, f"r{number}", "c", "g") for k in keys)), ts))
+        labels = [(k * 1000 + 1, f"c{number}", f"SO{k + rng.randrange(2)}", f"SO{k}") for k in keys]
+        store.append_history(SALES_ORDER, stamp(make(labels, columns), ts))
+        sales = make([(k,) for k in keys], "salesorderlinekey bigint").select(
+            "salesorderlinekey",
+            *(F.lit(20250101 + number).cast("long").alias(c) if c.endswith("datekey")
+              else F.lit(number).cast(SALES.schema[c].dataType).alias(c) for c in sales_columns),
+        )
+        store.append_history(SALES, stamp(sales, ts))
+        if number in (0, 2, 3, 5):
+            as_of = ts.date()
+            for full in (False, True):
+                assert refresh_dim(store, audit, TERRITORY.target, as_of, full) == "OK"
+                assert refresh_dim(store, audit, SALES_ORDER.target, as_of, full) == "OK"
+                assert refresh_fact(store, audit, full) == "OK"
+                now = [content(store.table(e.target)) for e in (TERRITORY, SALES_ORDER, SALES)]
+                counts = [r[5] for r in audit.records if r[5] is not None][-3:]
+                if not full:
+                    incremental = now, counts
+            assert incremental == (now, counts)
+            assert counts == [len(rows) for rows in now]
+            assert store.included(SALES.target) == number + 1
+
+
+def test_new_loads_are_merged_without_a_shuffle_of_the_fact(store, make, spark):
+    audit = AuditLog(store)
+    sales = make([(k,) for k in range(100)], "salesorderlinekey bigint").select(
+        "salesorderlinekey",
+        *(F.lit(20250101 if c.endswith("datekey") else 1).cast(SALES.schema[c].dataType).alias(c)
+          for c in SALES.attributes if c != SALES.key),
+    )
+    store.append_history(SALES, stamp(sales, FIRST))
+    assert refresh_fact(store, audit) == "OK"
+    store.append_history(SALES, stamp(sales.limit(10).withColumn("unit_price", F.lit(2.0)), SECOND))
+    new = sales_fact(store.loads(SALES, store.last_load(SALES), after=store.included(SALES.target)))
+    merged = upsert(store.table(SALES.target), new, SALES.key, newer="update_ts")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("PartitionFilters: [isnotnull(load_no") == 1
+    assert refresh_fact(store, audit) == "OK"
+    assert store.table(SALES.target).where("unit_price = 2").count() == 10
+    assert store.table(SALES.target).count() == 100

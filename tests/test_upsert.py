@@ -19,6 +19,12 @@ def test_upsert_takes_nulls_from_the_source_and_marks_hits(make):
     assert rows(merged) == [(1, "a", None), (2, None, True)]
 
 
+def test_upsert_of_newer_rows_only(make):
+    target = make([(1, 5, "a"), (2, 5, "b"), (3, None, "c")], "k bigint, n int, v string")
+    source = make([(1, 4, "A"), (2, 6, "B"), (3, 1, "C"), (4, 1, "D")], "k bigint, n int, v string")
+    assert rows(upsert(target, source, "k", newer="n")) == [(1, 5, "a"), (2, 6, "B"), (3, 1, "C"), (4, 1, "D")]
+
+
 def test_append_missing_never_updates(make):
     target = make([(1, "a")], "k bigint, v string")
     source = make([(1, "z"), (2, "b")], "k bigint, v string")

@@ -11,7 +11,9 @@ def append_missing(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return source.join(target.select(key), key, "left_anti").select(*source.columns)
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str, hit: str | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, key: str, hit: str | None = None, newer: str | None = None
+) -> DataFrame:
     """The target with every source row overwriting its key's row or added to it; other rows are kept.
 
     ``source`` must be unique by ``key``. ``hit`` names an extra column, true for rows that come from the source. A full outer join reads and computes each side once and uses the
@@ -20,5 +22,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, hit: str | None = Non
     columns = target.columns
     source = source.select(*(F.col(c).alias(f"_new_{c}") for c in columns), F.lit(True).alias("_hit"))
     merged = target.join(source, F.col(key) == F.col(f"_new_{key}"), "full_outer")
+    if newer is not None:
+        merged = merged.withColumn("_hit", F.col("_hit") & F.coalesce(F.col(f"_new_{newer}") > F.col(newer), F.lit(True)))
     rows = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     return merged.select(*rows, *([F.col("_hit").alias(hit)] if hit else []))

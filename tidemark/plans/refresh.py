@@ -10,24 +10,35 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.labels import newest_order_labels
 from tidemark.operators.latest import sales_fact
-from tidemark.operators.scd2 import scd2_ranges
+from tidemark.operators.scd2 import scd2_ranges, with_current_flag
 from tidemark.operators.upsert import append_missing, upsert
 from tidemark.plans import messages as m
 from tidemark.plans.mart import customer_cohorts, sales_mart
 from tidemark.schemas import (
     APPEND, BY_TARGET, COHORT_VIEW, CUSTOMER, DATE, FACT, MART_TABLE, MART_VIEW, PRODUCT, RESELLER, SALES,
-    SALES_ORDER, SCD2, TERRITORY, UPSERT, Entity,
+    SALES_ORDER, SCD2, TERRITORY, TS, UPSERT, Entity,
 )
 from tidemark.sources.audit import ERROR, OK, AuditLog
 from tidemark.sources.store import Store
 
 
-def rebuild_ranges(store: Store, entity: Entity, as_of: dt.date) -> int:
-    ranged = scd2_ranges(store.table(entity.history_table), entity.key, as_of=as_of)
-    return store.publish(entity.target, ranged.withColumnsRenamed(dict(entity.renames)), entity.target_key)
+def refresh_ranges(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int:
+    """New versions change the ranges of their own keys only: the other keys' rows are kept as they are, but for the
+    current flag. Neither join reduces the keys to distinct ones, so that a hot key's rows can be split."""
+    up_to = store.last_load(entity)
+    included = 0 if full else store.included(entity.target)
+    history = store.loads(entity, up_to)
+    if included:
+        touched = store.loads(entity, up_to, after=included).select(entity.key)
+        ranged = scd2_ranges(history.join(touched, entity.key, "left_semi"), entity.key)
+        kept = store.table(entity.target).join(touched, entity.key, "left_anti").drop("is_valid")
+        ranged = kept.unionByName(ranged.withColumnsRenamed(dict(entity.renames)))
+    else:
+        ranged = scd2_ranges(history, entity.key).withColumnsRenamed(dict(entity.renames))
+    return store.publish(entity.target, with_current_flag(ranged, as_of), entity.target_key, includes=up_to)
 
 
-def append_rows(store: Store, entity: Entity, as_of: dt.date) -> int:
+def append_rows(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int:
     """The calendar grows by the days it lacks. It has one row per day, so writing it anew is cheap."""
     target = store.table(entity.target)
     before = target.count()
@@ -35,26 +46,40 @@ def append_rows(store: Store, entity: Entity, as_of: dt.date) -> int:
     return store.publish(entity.target, target.unionByName(missing), entity.target_key) - before
 
 
-def upsert_rows(store: Store, entity: Entity, as_of: dt.date) -> int:
-    """Returns the rows overwritten or added, counted while the merged table is written."""
-    newest = newest_order_labels(store.table(entity.history_table))
-    merged = upsert(store.table(entity.target), newest, entity.key, hit="_hit")
+def upsert_labels(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int:
+    """Returns the rows that the newest valid labels of the whole history overwrite or add.
+
+    Once all rows of the table come from the history, only labels of new loads can change it, and that number is the
+    table's. Before, it is counted while the merged table is written.
+    """
+    up_to = store.last_load(entity)
+    included = 0 if full else store.included(entity.target)
+    newest = newest_order_labels(store.loads(entity, up_to, after=included))
+    target = store.table(entity.target)
+    if included:
+        merged = upsert(target, newest, entity.key, newer=TS)
+        return store.publish(entity.target, merged, entity.target_key, bucket_by=entity.key, includes=up_to)
+    merged = upsert(target, newest, entity.key, hit="_hit")
     written = Observation()
     store.publish(
-        entity.target, merged, entity.target_key, bucket_by=entity.key, observation=written, observed=F.col("_hit")
+        entity.target, merged, entity.target_key, bucket_by=entity.key, observation=written, observed=F.col("_hit"),
+        includes=up_to,
     )
     return written.get["n"]
 
 
-REFRESH: Mapping[str, Callable[[Store, Entity, dt.date], int]] = {
-    SCD2: rebuild_ranges,
+REFRESH: Mapping[str, Callable[[Store, Entity, dt.date, bool], int]] = {
+    SCD2: refresh_ranges,
     APPEND: append_rows,
-    UPSERT: upsert_rows,
+    UPSERT: upsert_labels,
 }
 
 
-def refresh_dim(store: Store, audit: AuditLog, name: str | None, as_of: dt.date) -> str:
-    """Refreshes the dimension of that name; returns the status. A failure leaves the dimension as it was."""
+def refresh_dim(store: Store, audit: AuditLog, name: str | None, as_of: dt.date, full: bool = False) -> str:
+    """Refreshes the dimension of that name; returns the status. A failure leaves the dimension as it was.
+
+    The result is always that of a rebuild from the whole history; ``full`` also makes it one.
+    """
     begin = audit.started(m.REFRESH_DIMS, m.EXECUTION_STARTED.format(procedure=m.REFRESH_DIMS))
     start = audit.now()
     entity = BY_TARGET.get(name)
@@ -64,7 +89,7 @@ def refresh_dim(store: Store, audit: AuditLog, name: str | None, as_of: dt.date)
         audit.add(m.REFRESH_DIMS, start, ERROR, message, 0)
     else:
         try:
-            rows = REFRESH[entity.kind](store, entity, as_of)
+            rows = REFRESH[entity.kind](store, entity, as_of, full)
             audit.add(m.REFRESH_DIMS, start, OK, m.UPLOADED.format(table=name), rows)
         except Exception as error:  # isolated like every stage
             status, message = ERROR, m.BRANCH_FAILED
@@ -73,11 +98,20 @@ def refresh_dim(store: Store, audit: AuditLog, name: str | None, as_of: dt.date)
     return status
 
 
-def refresh_fact(store: Store, audit: AuditLog) -> str:
+def refresh_fact(store: Store, audit: AuditLog, full: bool = False) -> str:
+    """Brings the fact to the newest version of every line; returns the status.
+
+    Only loads the fact does not include are read, reduced to their newest lines and merged into it: a join without a
+    shuffle of the fact, which is bucketed by line key. ``full`` rebuilds it from the whole history.
+    """
     begin = audit.started(m.REFRESH_FACT, m.EXECUTION_STARTED.format(procedure=m.REFRESH_FACT))
     try:
-        fact = sales_fact(store.table(SALES.history_table))
-        rows = store.publish(SALES.target, fact, SALES.target_key, bucket_by=SALES.key)
+        up_to = store.last_load(SALES)
+        included = 0 if full else store.included(SALES.target)
+        fact = sales_fact(store.loads(SALES, up_to, after=included))
+        if included:
+            fact = upsert(store.table(SALES.target), fact, SALES.key, newer=TS)
+        rows = store.publish(SALES.target, fact, SALES.target_key, bucket_by=SALES.key, includes=up_to)
         audit.add(m.REFRESH_FACT, begin, OK, m.PROCEDURE_OK, rows)
         return OK
     except Exception as error:  # isolated like every stage

@@ -20,6 +20,10 @@ from tidemark.schemas import AUDIT_SCHEMA, AUDIT_TABLE, MART_SCHEMA, MART_TABLE,
 from tidemark.session import shared_dir
 
 
+# Property of a published table's view.
+INCLUDED = "tidemark.included_load"
+
+
 class KeyCheckFailed(Exception):
     """A key column holds NULL, or a key occurs twice; nothing was made visible."""
 
@@ -39,7 +43,7 @@ class Store:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.folder}'")
         for entity in UPLOAD_ORDER:
             loads = self._name(f"{entity.history_table}_loads")
-            by_load = f"({_columns(entity.history_schema)}, load_id string) USING parquet PARTITIONED BY (load_id)"
+            by_load = f"({_columns(entity.history_schema)}, load_no bigint) USING parquet PARTITIONED BY (load_no)"
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {loads} {by_load}")
             visible = ", ".join(f"`{c}`" for c in entity.history_schema.names)
             self.spark.sql(
@@ -64,19 +68,35 @@ class Store:
         return self.table(name).count()
 
     def append_history(self, entity: Entity, batch: DataFrame) -> int:
-        """Adds a batch to a history as one partition, once its keys are checked; returns the rows added."""
-        load_id = uuid.uuid4().hex
-        path = f"{self.folder}/{entity.history_table}_loads/load_id={load_id}"
+        """Adds a batch to a history as one numbered load, once its keys are checked; returns the rows added.
+
+        Of two loads at the same time, the second fails to add its number and can be repeated.
+        """
+        number = self.last_load(entity) + 1
+        path = f"{self.folder}/{entity.history_table}_loads/{number}_{uuid.uuid4().hex}"
         batch.select(*entity.history_schema.names).write.parquet(path)
         written = self.spark.read.schema(entity.history_schema).parquet(path)
         rows = self._check(entity.history_table, written, entity.history_key)
         if rows:
             self._check_new(entity, written)
-            self.spark.sql(
-                f"ALTER TABLE {self._name(entity.history_table + '_loads')} ADD PARTITION (load_id = '{load_id}')"
-            )
+            loads = self._name(f"{entity.history_table}_loads")
+            self.spark.sql(f"ALTER TABLE {loads} ADD PARTITION (load_no = {number}) LOCATION '{path}'")
         return rows
 
+    def last_load(self, entity: Entity) -> int:
+        partitions = self.spark.sql(f"SHOW PARTITIONS {self._name(entity.history_table + '_loads')}").collect()
+        return max((int(r["partition"].partition("=")[2]) for r in partitions), default=0)
+
+    def loads(self, entity: Entity, up_to: int, after: int = 0) -> DataFrame:
+        """The history's rows that came with some loads; others are not read."""
+        rows = self.table(f"{entity.history_table}_loads")
+        return rows.where((F.col("load_no") > after) & (F.col("load_no") <= up_to)).drop("load_no")
+
+    def included(self, name: str) -> int:
+        """The last load a published table includes; 0 if it is empty or was made in another way."""
+        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self._name(name)}").collect()}
+        return int(properties.get(INCLUDED, 0))
+
     def publish(
         self,
         name: str,
@@ -85,13 +105,15 @@ class Store:
         bucket_by: str | None = None,
         observation: Observation | None = None,
         observed: F.Column | None = None,
+        includes: int = 0,
     ) -> int:
         """Replaces a table's content, once the new content's keys are checked; returns its rows.
 
         ``bucket_by`` lays the table out by that column, as many buckets as shuffle partitions, so that data just
         shuffled by it is written without another shuffle and later joins on it need none. ``observed`` is counted
-        into ``observation`` while writing, and its columns beyond the table's are not stored. The content before
-        the replaced one is dropped; the replaced one stays for readers that have begun.
+        into ``observation`` while writing, and its columns beyond the table's are not stored. ``includes`` is noted as
+        the last load the content includes. The content before the replaced one is dropped; the replaced one stays for
+        readers that have begun.
         """
         columns = self.table(name).columns
         replaced = self._published(name)
@@ -108,7 +130,7 @@ class Store:
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(snapshot)}")
             raise
-        self._show(name, snapshot, columns)
+        self._show(name, snapshot, columns, includes)
         for other in self._snapshots(name) - {snapshot, replaced}:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(other)}")
         return rows
@@ -127,9 +149,12 @@ class Store:
             self.spark.sql(f"CREATE TABLE {self._name(snapshot)} ({_columns(schema)}) USING parquet")
             self._show(name, snapshot, schema.names)
 
-    def _show(self, name: str, snapshot: str, columns: Sequence[str]) -> None:
+    def _show(self, name: str, snapshot: str, columns: Sequence[str], includes: int = 0) -> None:
         visible = ", ".join(f"`{c}`" for c in columns)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT {visible} FROM {self._name(snapshot)}")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._name(name)} TBLPROPERTIES ('{INCLUDED}' = '{includes}') "
+            f"AS SELECT {visible} FROM {self._name(snapshot)}"
+        )
 
     def _published(self, name: str) -> str | None:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._name(name)}")
