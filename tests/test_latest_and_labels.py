@@ -9,12 +9,17 @@ from tidemark.operators.labels import newest_order_labels
 from tidemark.operators.latest import newest_per_key
 
 
+LABELS = ("channel string, salesorderlinekey bigint, sales_order string, sales_order_line string, "
+          "update_ts timestamp_ntz")
+
+
 def at(day):
     return dt.datetime(2025, 1, day)
 
 
 def test_newest_per_key_and_tie_break(make):
-    df = make([(1, "a", at(1)), (1, "b", at(2)), (2, "c", at(3)), (2, "d", at(3))], "k bigint, v string, update_ts timestamp_ntz")
+    versions = [(1, "a", at(1)), (1, "b", at(2)), (2, "c", at(3)), (2, "d", at(3))]
+    df = make(versions, "k bigint, v string, update_ts timestamp_ntz")
     assert sorted(tuple(r)[:2] for r in newest_per_key(df, "k", tie_break=["v"]).collect()) == [(1, "b"), (2, "d")]
 
 
@@ -28,15 +33,15 @@ def test_labels_are_validated_before_the_newest_is_taken(make):
             ("web", 43662001, "SO43662", "SO43662 - 1", at(1)),
             ("web", 43662001, "SO43662", "SO43662 - 2", at(5)),
         ],
-        "channel string, salesorderlinekey bigint, sales_order string, sales_order_line string, update_ts timestamp_ntz",
+        LABELS,
     )
-    kept = sorted((r.salesorderlinekey, r.sales_order_line, r.update_ts.day) for r in newest_order_labels(labels).collect())
+    rows = newest_order_labels(labels).collect()
+    kept = sorted((r.salesorderlinekey, r.sales_order_line, r.update_ts.day) for r in rows)
     assert kept == [(43659001, "SO43659 - 1", 1), (43662001, "SO43662 - 2", 5)]
 
 
 def test_short_number_inside_a_longer_label_is_valid(make):
-    labels = make([("web", 5001, "SO15", "SO15 - 1", at(1))],
-                  "channel string, salesorderlinekey bigint, sales_order string, sales_order_line string, update_ts timestamp_ntz")
+    labels = make([("web", 5001, "SO15", "SO15 - 1", at(1))], LABELS)
     assert newest_order_labels(labels).count() == 1
 
 

@@ -50,7 +50,8 @@ def test_other_formats(spark, make, tmp_path, fmt):
 
 
 def test_nan_becomes_null_and_fractions_are_refused(make):
-    columns = "datekey double, date string, fiscal_year string, fiscal_quarter string, month string, full_date string, monthkey double"
+    columns = ("datekey double, date string, fiscal_year string, fiscal_quarter string, month string, "
+               "full_date string, monthkey double")
     good = make([(20200131.0, "2020-01-31 00:00:00", "a", "b", "c", "d", float("nan"))], columns)
     row = conform(good, DATE.schema).first()
     assert (row.datekey, row.date, row.monthkey) == (20200131, dt.datetime(2020, 1, 31), None)

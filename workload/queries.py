@@ -313,7 +313,7 @@ def unmatched_facts(t: Tables) -> DataFrame:
     )
 
 
-# --- sheets and names --------------------------------------------------------------------------------------------------------
+# --- sheets and names ---------------------------------------------------------------------------------------------
 
 
 @query
