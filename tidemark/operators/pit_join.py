@@ -50,10 +50,10 @@ def pit_join(
     matches = (F.col(key) == F.col("_dim_key")) & in_range
 
     columns = fact.columns
-    dense = _dense_keys(versions, dense_versions)
     if n_dense is None:
-        n_dense = dense.count()
+        n_dense = count_dense_keys({key: (dim, key)}, dense_versions)[key]
     if n_dense:
+        dense = _dense_keys(versions, dense_versions)
         small = is_small_key_list(dense, "_dense_key", n_dense)
         slots = F.when(F.col("_lo").isNull(), F.array(F.lit(0))).otherwise(
             F.sequence(_slot(F.col("valid_from")), _slot(F.col("valid_to")))
@@ -68,12 +68,23 @@ def pit_join(
 def count_dense_keys(
     dims: Mapping[str, tuple[DataFrame, str]], dense_versions: int = DENSE_VERSIONS
 ) -> dict[str, int]:
-    """For each named dimension and its key, how many keys have more versions than that: one job for all."""
-    counts = [
-        _dense_keys(_versions(dim, key), dense_versions).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name), "n")
+    """For each named dimension and its key, how many keys have more versions than that: one job for all.
+
+    Rows per key, empty ranges included, need the key column only and settle most dimensions. Just for those with
+    such a key, the versions that can match are counted.
+    """
+    many_rows = {
+        name: dim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > dense_versions)
         for name, (dim, key) in dims.items()
-    ]
-    return {name: n for name, n in reduce(DataFrame.union, counts).collect()}
+    }
+    suspects = [name for name, n in _row_counts(many_rows).items() if n]
+    dense = {name: _dense_keys(_versions(*dims[name]), dense_versions) for name in suspects}
+    return dict.fromkeys(dims, 0) | _row_counts(dense)
+
+
+def _row_counts(frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name), "n") for name, df in frames.items()]
+    return {name: n for name, n in reduce(DataFrame.union, counts).collect()} if counts else {}
 
 
 def _versions(dim: DataFrame, key: str) -> DataFrame:

@@ -46,8 +46,10 @@ def run(
     begin = audit.now()
     try:
         staged = _stage_sheets(store, audit, sheets, load_ts, result, begin)
+        audit.flush()  # a long run can be followed, and what was done is on record should the driver be lost
         if result.status == OK:
             _upload_and_refresh(store, audit, staged, as_of or load_ts.date(), min_changed, result)
+            audit.flush()
         start = audit.now()
         procedure = f"{store.database}.{m.REFRESH_MART}"
         try:
