@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 import uuid
 
@@ -187,8 +188,10 @@ def test_long_messages_are_cut(store):
 def test_upload_counts_staged_rows_itself(store, sheets, spark):
     for entity in SHEET_ORDER:
         store.stage(entity.staging_table, stamp(spark.read.parquet(sheets[entity.sheet][0]), FIRST))
-    upload = upload_src(store, AuditLog(store))
-    assert upload.status == "OK"
+    with AuditLog(store) as audit:
+        upload = upload_src(store, audit)
+    assert upload.status == "OK" and len(steps(store)) == 9
+    assert json.loads(upload.to_json()) == upload.counts
     assert upload.counts["fct_sales_data"] == store.table("src_sales_data").count()
     assert sales_fact(store.table("src_sales_data")).count() == upload.counts["fct_sales_data"]
 

@@ -20,11 +20,19 @@ def utc_now() -> dt.datetime:
 
 
 class AuditLog:
+    """Gathers records until ``flush``; as a context manager it flushes at the end, also after an error."""
+
     def __init__(self, store: Store, clock: Callable[[], dt.datetime] = utc_now):
         self.store = store
         self.now = clock
         self.records: list[tuple] = []
 
+    def __enter__(self) -> AuditLog:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.flush()
+
     def add(
         self, procedure: str, start: dt.datetime, status: str, message: str, rows: int | None = None,
         end: dt.datetime | None = None,
