@@ -14,6 +14,7 @@ from tidemark.operators.scd2 import scd2_ranges, with_current_flag
 from tidemark.operators.upsert import append_missing, upsert
 from tidemark.plans import messages as m
 from tidemark.plans.mart import customer_cohorts, sales_mart
+from tidemark.plans.together import together
 from tidemark.schemas import (
     APPEND, BY_TARGET, COHORT_VIEW, CUSTOMER, DATE, FACT, MART_TABLE, MART_VIEW, PRODUCT, RESELLER, SALES,
     SALES_ORDER, SCD2, TERRITORY, TS, UPSERT, Entity,
@@ -124,16 +125,16 @@ def refresh_changed(
 ) -> dict[str, str]:
     """Refreshes the targets with at least ``min_changed`` added rows; returns their statuses.
 
-    A single changed row waits for the next larger change unless ``min_changed`` is 1. Short names come first.
+    A single changed row waits for the next larger change unless ``min_changed`` is 1. Records of targets with
+    short names come first.
     """
-    refreshed = {}
-    for target in sorted(counts, key=lambda name: (len(name), name)):
-        if counts[target] >= min_changed:
-            if target == SALES.target:
-                refreshed[target] = refresh_fact(store, audit)
-            else:
-                refreshed[target] = refresh_dim(store, audit, target, as_of)
-    return refreshed
+
+    def refresh(log: AuditLog, target: str) -> str:
+        return refresh_fact(store, log) if target == SALES.target else refresh_dim(store, log, target, as_of)
+
+    by_name = sorted(counts, key=lambda name: (len(name), name))
+    targets = [target for target in by_name if counts[target] >= min_changed]
+    return dict(zip(targets, together(audit, refresh, targets)))
 
 
 def live_mart(store: Store) -> DataFrame:
