@@ -77,6 +77,13 @@ def test_thinning_keeps_rows_without_a_key(make):
     assert rows(new_or_changed(staging, history, key="k", staged_rows=2)) == [(None, "A", "x", 9)]
 
 
+def test_thinning_follows_the_default_of_the_key(make):
+    staging = make([(None, "A", "x", at(9)), (2, "A", "x", at(9))], SCHEMA)
+    history = make([(0, "A", "x", at(1))], SCHEMA)
+    options = {"null_defaults": {"k": 0}, "key": "k"}
+    assert rows(new_or_changed(staging, history, staged_rows=2, **options)) == [(2, "A", "x", 9)]
+
+
 def test_threshold_and_json(make):
     counts = make([("dim_date_data", 0), ("fct_sales_data", 1), ("dim_product_data", 2)],
                   "table_name string, rows_changed bigint")

@@ -83,6 +83,9 @@ def test_history_refuses_a_batch_with_bad_keys_and_stays_as_it_was(store, make):
     for rows in (((2, "a", "b", "c"), (2, "x", "b", "c")), ((None, "a", "b", "c"),), ((1, "z", "b", "c"),)):
         with pytest.raises(KeyCheckFailed):
             store.append_history(TERRITORY, stamp(territories(make, *rows), FIRST))
+    folder = f"{store.folder}/{TERRITORY.history_table}_loads"
+    written = store.spark.read.option("recursiveFileLookup", True).parquet(folder)
+    assert written.count() == 1  # refused batches take no space
     assert store.append_history(TERRITORY, stamp(territories(make, (1, "z", "b", "c")), SECOND)) == 1
     assert store.append_history(TERRITORY, good.limit(0)) == 0
     assert store.table(TERRITORY.history_table).count() == 2

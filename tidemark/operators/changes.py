@@ -44,8 +44,8 @@ def new_or_changed(
     seen = history.select(*(comparable(c).alias(f"_seen_{c}") for c in compare))
     if set(compare) != set(attributes):
         seen = seen.distinct()
-    if key is not None and is_small_key_list(staging, key, staged_rows):
-        staged = staging.select(F.col(key).alias("_staged")).distinct()
+    if key in compare and is_small_key_list(staging, key, staged_rows):
+        staged = staging.select(comparable(key).alias("_staged")).distinct()
         seen = seen.join(F.broadcast(staged), F.col(f"_seen_{key}") == F.col("_staged"), "left_semi")
     equal = reduce(lambda a, b: a & b, (comparable(c) == F.col(f"_seen_{c}") for c in compare))
     batch = staging.groupBy(*attributes).agg(F.max(ts).alias(ts))

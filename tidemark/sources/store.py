@@ -76,11 +76,16 @@ class Store:
         path = f"{self.folder}/{entity.history_table}_loads/{number}_{uuid.uuid4().hex}"
         batch.select(*entity.history_schema.names).write.parquet(path)
         written = self.spark.read.schema(entity.history_schema).parquet(path)
-        rows = self._check(entity.history_table, written, entity.history_key)
-        if rows:
-            self._check_new(entity, written)
-            loads = self._name(f"{entity.history_table}_loads")
-            self.spark.sql(f"ALTER TABLE {loads} ADD PARTITION (load_no = {number}) LOCATION '{path}'")
+        try:
+            rows = self._check(entity.history_table, written, entity.history_key)
+            if rows:
+                self._check_new(entity, written)
+                loads = self._name(f"{entity.history_table}_loads")
+                self.spark.sql(f"ALTER TABLE {loads} ADD PARTITION (load_no = {number}) LOCATION '{path}'")
+        except Exception:
+            # No one will read this batch: give its space back.
+            self.spark.createDataFrame([], entity.history_schema).write.mode("overwrite").parquet(path)
+            raise
         return rows
 
     def last_load(self, entity: Entity) -> int:
