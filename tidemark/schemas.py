@@ -93,6 +93,7 @@ class Entity:
         return schema
 
 
+# Fixed values, down to the mart's columns: names and types of tables and columns, and what is compared.
 DATE_KEYS = ("orderdatekey", "duedatekey", "shipdatekey")
 
 CUSTOMER = Entity(

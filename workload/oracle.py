@@ -237,6 +237,7 @@ EARLIER = {
     "sales_territory_data": """
         select * replace (if(country = 'ASIA', 'Far East', "group") as "group") from staged""",
 }
+# The columns compared per entity.
 COMPARED = {
     "customer_data": "customerkey customer_id customer city state_province country_region postal_code",
     "date_data": "datekey",
