@@ -49,8 +49,10 @@ def unmatched_facts(
     """
     keys = [order_key, date_col, *(key for _, key in dims.values())]
     flagged = fact.select(*dict.fromkeys(keys))
-    dates = calendar.select(F.col("date").alias("_date")).distinct().withColumn("_in_calendar", F.lit(True))
-    flagged = flagged.join(dates, F.col(date_col).cast("timestamp_ntz") == F.col("_date"), "left").drop("_date")
+    # Distinct days, so broadcast: even the whole range of dates is under four million.
+    date = F.col("date").cast("date")
+    dates = calendar.where(F.col("date") == date).select(date.alias("_date"), F.lit(True).alias("_in_calendar"))
+    flagged = flagged.join(F.broadcast(dates.distinct()), F.col(date_col) == F.col("_date"), "left").drop("_date")
     lines = orders.select(order_key).distinct().withColumn("_in_orders", F.lit(True))
     flagged = flagged.join(lines, order_key, "left")
     names = {"calendar": "_in_calendar", "orders": "_in_orders"}
