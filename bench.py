@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 from tidemark.operators.latest import sales_fact
 from tidemark.plans.mart import customer_cohorts
 from tidemark.plans.refresh import live_mart
+from tidemark.plans.upload import captured
 from tidemark.schemas import SALES
 from tidemark.session import configure
 from workload.inputs import Tables
@@ -27,6 +28,7 @@ STORED = {
     "stored_live_mart": live_mart,
     "stored_cohorts": lambda store: customer_cohorts(live_mart(store)),
     "stored_fact_rebuild": lambda store: sales_fact(store.table(SALES.history_table)),
+    "stored_capture_sales": lambda store: captured(store, SALES, store.table(SALES.staging_table).count()),
 }
 
 HEADLINES = (
@@ -60,7 +62,10 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    store = published_store(Tables(spark, folder)) if set(names) & set(STORED) else None
+    store = None
+    if set(names) & set(STORED):
+        store = published_store(Tables(spark, folder))
+        store.stage(SALES.staging_table, store.table(SALES.history_table))
     seconds = {}
     for name in names:
         times = []
