@@ -52,10 +52,15 @@ def test_date_keys(make):
     assert doubles.first().d == dt.date(2020, 1, 31)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("bad", [20201341, 20210229, 2020131, 0, 120200131])
-def test_bad_date_key_fails(make, bad):
-    with pytest.raises(PySparkException):
-        make([(bad,)], "k bigint").select(date_from_key(F.col("k"))).collect()
+def test_bad_date_key_fails_in_any_session(make, spark, bad, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            make([(bad,)], "k bigint").select(date_from_key(F.col("k"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_date_labels(make):

@@ -60,6 +60,22 @@ def test_nan_becomes_null_and_fractions_are_refused(make):
         conform(bad, DATE.schema).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("column, value", [("datekey", "x1"), ("datekey", "1.5"), ("date", "some day"), ("monthkey", "-")])
+def test_values_that_do_not_fit_fail_in_any_session(make, spark, ansi, column, value):
+    good = {"datekey": "20200131.0", "date": "2020-01-31", "monthkey": "202001"}
+    texts = {f.name: "t" for f in DATE.schema} | good
+    columns = ", ".join(f"{c} string" for c in texts)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        row = conform(make([tuple(texts.values())], columns), DATE.schema).first()
+        assert (row.datekey, row.date, row.monthkey) == (20200131, dt.datetime(2020, 1, 31), 202001)
+        with pytest.raises(PySparkException):
+            conform(make([tuple((texts | {column: value}).values())], columns), DATE.schema).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_missing_column_is_an_error(make):
     with pytest.raises(KeyError):
         conform(make([], "salesorderlinekey bigint"), SALES.schema)

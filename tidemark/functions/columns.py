@@ -22,10 +22,8 @@ def date_from_key(key: Column) -> Column:
         (integral_quotient(key, 100) % 100).cast("int"),
         (key % 100).cast("int"),
     )
-    return (
-        F.when(key.between(10000101, 99991231), date)
-        .when(key.isNotNull(), F.raise_error(F.concat(F.lit("not a YYYYMMDD date key: "), key.cast("string"))).cast("date"))
-    )
+    error = F.raise_error(F.concat(F.lit("not a YYYYMMDD date key: "), key.cast("string"))).cast("date")
+    return F.when(key.isNotNull(), F.coalesce(F.when(key.between(10000101, 99991231), date), error))
 
 
 def key_from_date(date: Column) -> Column:

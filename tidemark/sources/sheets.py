@@ -50,7 +50,7 @@ def stamp(df: DataFrame, load_ts: dt.datetime, ts: str = TS) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` by name and type. NaN becomes NULL; a key that is no whole number fails."""
+    """The columns of ``schema`` by name and type. NaN becomes NULL; a value that does not fit fails."""
     return df.select(*(_converted(df.schema[f.name], f.dataType).alias(f.name) for f in schema))
 
 
@@ -60,10 +60,14 @@ def _converted(source: T.StructField, target: T.DataType) -> Column:
         value = F.when(~F.isnan(value), value)
     if isinstance(target, T.LongType) and not isinstance(source.dataType, T.IntegralType):
         number = value.cast(T.DecimalType(38, 10))
-        whole = number.cast("long")
-        error = F.raise_error(F.concat(F.lit(f"{source.name} is not a whole number: "), number.cast("string")))
-        return F.when(number.isNull() | (number == whole), whole).otherwise(error.cast("long"))
-    return value.cast(target)
+        good, converted, wanted = number == number.cast("long"), number.cast("long"), "a whole number"
+    else:
+        converted = value.cast(target)
+        good, wanted = converted.isNotNull(), f"a {target.simpleString()}"
+        if target == source.dataType:
+            return converted
+    error = F.raise_error(F.concat(F.lit(f"{source.name} is not {wanted}: "), value.cast("string")))
+    return F.when(value.isNull() | good, converted).otherwise(error.cast(target))
 
 
 def _quoted(name: str) -> Column:
