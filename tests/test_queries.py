@@ -4,6 +4,7 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as contract
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +13,10 @@ def con(folder):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, folder, con, name):
     assert difference(contract.queries()[name](spark, folder), con, contract.oracle_sql()[name]) is None
 
