@@ -74,7 +74,7 @@ def test_publish_keeps_the_old_content_if_a_check_fails(store, make):
         reader = store.table(CUSTOMER.target)
         assert store.publish(CUSTOMER.target, dim(*range(n)), key) == n
         assert reader.count() == n - 1 or n == 3  # a reader that began before still finds its rows
-    assert len(store._snapshots(CUSTOMER.target)) == 2
+    assert len(store._notes(CUSTOMER.target)) == 2
 
 
 def test_history_refuses_a_batch_with_bad_keys_and_stays_as_it_was(store, make):
@@ -155,6 +155,7 @@ def test_failing_refresh_leaves_the_dimension(store, make):
     stamp(territories(make, (1, "z", "b", "c")), FIRST).write.parquet(path)
     loads = f"{store.database}.{TERRITORY.history_table}_loads"
     store.spark.sql(f"ALTER TABLE {loads} ADD PARTITION (load_no = 2) LOCATION '{path}'")
+    store._note(f"{TERRITORY.history_table}_loads", 2, {"folder": path})
     assert refresh_dim(store, audit, TERRITORY.target, as_of) == "ERROR"
     assert store.table(TERRITORY.target).first().region == "a"
     assert [r[6] for r in audit.records] == ["STARTED", "OK", "OK", "STARTED", "ERROR", "ERROR"]

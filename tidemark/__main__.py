@@ -31,11 +31,15 @@ def main(arguments: Sequence[str] | None = None) -> int:
     parser.add_argument("--folder", help="shared folder for the tables")
     parser.add_argument("--load-ts", type=dt.datetime.fromisoformat, help="stamp of this load, default now (UTC)")
     parser.add_argument("--min-changed", type=int, default=2)
+    parser.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="reader option")
     options = parser.parse_args(arguments)
 
     spark = configure(SparkSession.builder.appName("tidemark")).getOrCreate()
     sheets = {
-        e.sheet: (f"{options.sheets.rstrip('/')}/{e.sheet}.{options.format}", options.format) for e in SHEET_ORDER
+        e.sheet: (
+            f"{options.sheets.rstrip('/')}/{e.sheet}.{options.format}", options.format,
+            dict(o.split("=", 1) for o in options.option))
+        for e in SHEET_ORDER
     }
     store = Store(spark, options.database, options.folder).create()
     result = run(store, sheets, options.load_ts or utc_now(), min_changed=options.min_changed)

@@ -50,10 +50,12 @@ def append_rows(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int
 def upsert_labels(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int:
     """Returns the rows that the newest valid labels of the whole history overwrite or add.
 
-    Once all rows of the table come from the history, only labels of new loads can change it, and that number is the
-    table's. Before, it is counted while the merged table is written.
+    While all rows of the table come from the history, only labels of new loads can change it, and that number is the
+    table's. A table that held other rows is merged with the whole history each time, and the number is counted while
+    the merged table is written.
     """
     up_to = store.last_load(entity)
+    of_history = bool(store.included(entity.target)) or store.table(entity.target).isEmpty()
     included = 0 if full else store.included(entity.target)
     newest = newest_order_labels(store.loads(entity, up_to, after=included))
     target = store.table(entity.target)
@@ -64,7 +66,7 @@ def upsert_labels(store: Store, entity: Entity, as_of: dt.date, full: bool) -> i
     written = Observation()
     store.publish(
         entity.target, merged, entity.target_key, bucket_by=entity.key, observation=written, observed=F.col("_hit"),
-        includes=up_to,
+        includes=up_to if of_history else 0,
     )
     return written.get["n"]
 
@@ -151,10 +153,15 @@ def live_mart(store: Store) -> DataFrame:
 
 
 def register_views(store: Store) -> None:
-    """The live mart and the cohorts as temporary views for SQL users, on the tables as they stand now."""
-    mart = live_mart(store)
-    mart.createOrReplaceTempView(MART_VIEW)
-    customer_cohorts(mart).createOrReplaceTempView(COHORT_VIEW)
+    """The live mart and the cohorts as temporary views for SQL users, defined anew whenever the store publishes."""
+
+    def define() -> None:
+        mart = live_mart(store)
+        mart.createOrReplaceTempView(MART_VIEW)
+        customer_cohorts(mart).createOrReplaceTempView(COHORT_VIEW)
+
+    define()
+    store.watchers.append(define)
 
 
 def refresh_mart(store: Store, audit: AuditLog) -> None:

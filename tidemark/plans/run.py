@@ -16,7 +16,7 @@ from tidemark.sources.audit import ERROR, OK, AuditLog
 from tidemark.sources.sheets import normalize_columns, read_sheet, stamp
 from tidemark.sources.store import Store
 
-Sheet = DataFrame | tuple[str, str]
+Sheet = DataFrame | tuple[str, str] | tuple[str, str, Mapping[str, object]]
 
 
 @dataclass
@@ -36,7 +36,7 @@ def run(
     min_changed: int = 2,
     audit: AuditLog | None = None,
 ) -> Run:
-    """Loads all sheets, each a DataFrame or a path and its format, and brings the warehouse up to date.
+    """Loads all sheets, each a DataFrame or a path, its format and perhaps reader options, and brings the warehouse up to date.
 
     A sheet that cannot be staged is recorded, the other sheets are still staged, and nothing is uploaded. A sheet
     that is not there ends the run. The mart is refreshed in any case, and its status kept apart.
@@ -71,7 +71,7 @@ def _stage_sheets(
     staged: dict[str, int] = {}
     for entity in SHEET_ORDER:
         sheet = sheets[entity.sheet]
-        df = sheet if isinstance(sheet, DataFrame) else read_sheet(store.spark, *sheet)
+        df = sheet if isinstance(sheet, DataFrame) else read_sheet(store.spark, *sheet[:2], **dict(*sheet[2:]))
         table = entity.staging_table
         start = audit.now()
         try:

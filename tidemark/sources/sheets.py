@@ -25,9 +25,12 @@ def read_sheet(
     """One exported sheet; the header row of a CSV file names its columns.
 
     Without a schema, CSV columns stay text and are cast when they are compared with the history, which saves a pass
-    over the data for guessing types (``inferSchema=True`` asks for it). In text formats some texts mean NULL.
+    over the data for guessing types (``inferSchema=True`` asks for it). In text formats some texts mean NULL. Quotes
+    in a quoted CSV cell are doubled, and a row with too many or too few cells fails its sheet when it is read. Cells
+    with line breaks need ``multiLine=True``, which keeps a file from being split among tasks.
     """
-    reader = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {}) | options)
+    strict = {"header": True, "escape": '"', "mode": "FAILFAST"} if fmt == "csv" else {}
+    reader = spark.read.format(fmt).options(**strict | options)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
     return missing_as_null(df) if fmt in TEXT_FORMATS else df
 

@@ -1,15 +1,19 @@
 """The warehouse's tables: staged batches, append-only histories and published snapshots.
 
 Plain Spark tables are neither transactional nor keyed. So data is always written aside, checked, and then made
-visible by one catalog operation: a new partition of a history, or a view that moves on to the next snapshot. A lost
-executor or a failed check leaves readers with what they had.
+visible by one small note in the warehouse's folder: the next load of a history, or the next version of a table. A
+note is created only if there is none of that number, so of two writers at the same time one fails and can try again.
+A lost executor or a failed check leaves readers with what they had.
+
+The notes are the truth. ``create`` registers what they name in the session's catalog, whichever that is, so another
+process opens the same folder and goes on.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +24,8 @@ from tidemark.schemas import AUDIT_SCHEMA, AUDIT_TABLE, MART_SCHEMA, MART_TABLE,
 from tidemark.session import shared_dir
 
 
-# Property of a published table's view.
-INCLUDED = "tidemark.included_load"
+#: Spark's limit.
+MOST_BUCKETS = 100_000
 
 
 class KeyCheckFailed(Exception):
@@ -33,26 +37,42 @@ def _columns(schema: T.StructType) -> str:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, database: str, folder: str | None = None):
+    """``buckets`` is noted when a bucketed table is first published, by default from the shuffle partitions of that
+    session, and kept from then on. ``keep`` versions of a published table before the current one stay for readers
+    that have begun."""
+
+    def __init__(
+        self, spark: SparkSession, database: str, folder: str | None = None, buckets: int | None = None, keep: int = 1
+    ):
         self.spark = spark
         self.database = database
         self.folder = f"{(folder or shared_dir(spark)).rstrip('/')}/{database}"
+        self.buckets = buckets or min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self.keep = keep
+        self.watchers: list[Callable[[], None]] = []
+        if not 0 < self.buckets <= MOST_BUCKETS:
+            raise ValueError(f"between 1 and {MOST_BUCKETS} buckets, not {buckets}")
 
     def create(self) -> Store:
-        """Creates what does not exist yet: histories, empty targets, the mart and the audit table."""
+        """Opens the folder: registers what its notes name, and creates what does not exist yet."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.folder}'")
         for entity in UPLOAD_ORDER:
-            loads = self._name(f"{entity.history_table}_loads")
+            name = f"{entity.history_table}_loads"
             by_load = f"({_columns(entity.history_schema)}, load_no bigint) USING parquet PARTITIONED BY (load_no)"
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {loads} {by_load}")
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self._name(name)} {by_load} LOCATION '{self.folder}/{name}'")
+            for number, note in self._notes(name).items():
+                self._add_load(name, number, note["folder"])
             visible = ", ".join(f"`{c}`" for c in entity.history_schema.names)
             self.spark.sql(
-                f"CREATE VIEW IF NOT EXISTS {self._name(entity.history_table)} AS SELECT {visible} FROM {loads}"
+                f"CREATE VIEW IF NOT EXISTS {self._name(entity.history_table)} AS SELECT {visible} "
+                f"FROM {self._name(name)}"
             )
-            self._create_target(entity.target, entity.target_schema)
-        self._create_target(MART_TABLE, MART_SCHEMA)
+            self._open_target(entity.target, entity.target_schema)
+        self._open_target(MART_TABLE, MART_SCHEMA)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._name(AUDIT_TABLE)} ({_columns(AUDIT_SCHEMA)}) USING parquet"
+            f"CREATE TABLE IF NOT EXISTS {self._name(AUDIT_TABLE)} ({_columns(AUDIT_SCHEMA)}) USING parquet "
+            f"LOCATION '{self.folder}/{AUDIT_TABLE}'"
         )
         return self
 
@@ -64,7 +84,7 @@ class Store:
 
     def stage(self, name: str, df: DataFrame) -> int:
         """Replaces a staging table; returns its rows, counted from the written files' metadata."""
-        df.write.mode("overwrite").saveAsTable(self._name(name))
+        df.write.mode("overwrite").option("path", f"{self.folder}/{name}").saveAsTable(self._name(name))
         return self.table(name).count()
 
     def append_history(self, entity: Entity, batch: DataFrame) -> int:
@@ -80,17 +100,18 @@ class Store:
             rows = self._check(entity.history_table, written, entity.history_key)
             if rows:
                 self._check_new(entity, written)
-                loads = self._name(f"{entity.history_table}_loads")
-                self.spark.sql(f"ALTER TABLE {loads} ADD PARTITION (load_no = {number}) LOCATION '{path}'")
+                self._note(f"{entity.history_table}_loads", number, {"folder": path})
         except Exception:
-            # No one will read this batch: give its space back.
-            self.spark.createDataFrame([], entity.history_schema).write.mode("overwrite").parquet(path)
+            self._delete(path)  # no one will read this batch
             raise
+        if rows:
+            self._add_load(f"{entity.history_table}_loads", number, path)
+        else:
+            self._delete(path)
         return rows
 
     def last_load(self, entity: Entity) -> int:
-        partitions = self.spark.sql(f"SHOW PARTITIONS {self._name(entity.history_table + '_loads')}").collect()
-        return max((int(r["partition"].partition("=")[2]) for r in partitions), default=0)
+        return max(self._notes(f"{entity.history_table}_loads"), default=0)
 
     def loads(self, entity: Entity, up_to: int, after: int = 0) -> DataFrame:
         """The history's rows that came with some loads; others are not read."""
@@ -99,8 +120,7 @@ class Store:
 
     def included(self, name: str) -> int:
         """The last load a published table includes; 0 if it is empty or was made in another way."""
-        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self._name(name)}").collect()}
-        return int(properties.get(INCLUDED, 0))
+        return self._current(name)[1].get("includes", 0)
 
     def publish(
         self,
@@ -114,30 +134,39 @@ class Store:
     ) -> int:
         """Replaces a table's content, once the new content's keys are checked; returns its rows.
 
-        ``bucket_by`` lays the table out by that column, as many buckets as shuffle partitions, so that data just
-        shuffled by it is written without another shuffle and later joins on it need none. ``observed`` is counted
-        into ``observation`` while writing, and its columns beyond the table's are not stored. ``includes`` is noted as
-        the last load the content includes. The content before the replaced one is dropped; the replaced one stays for
-        readers that have begun.
+        ``bucket_by`` lays the table out by that column, so that later joins on it need no shuffle; the number of
+        buckets is the table's own. ``observed`` is counted into ``observation`` while writing, and its columns beyond
+        the table's are not stored. ``includes`` is noted as the last load the content includes. If another writer has
+        replaced the content meanwhile, this one fails.
         """
         columns = self.table(name).columns
-        replaced = self._published(name)
+        version, replaced = self._current(name)
         snapshot = f"{name}__{uuid.uuid4().hex}"
         if observation is not None:
             df = df.observe(observation, F.count(observed).alias("n"))
-        writer = df.select(*columns).write
+        buckets = (replaced.get("buckets") or self.buckets) if bucket_by else None
+        writer = df.select(*columns).write.option("path", f"{self.folder}/{snapshot}")
         if bucket_by:
-            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
         try:
             writer.saveAsTable(self._name(snapshot))
-            rows = self._check(name, self.table(snapshot), key)
+            written = self.table(snapshot)
+            rows = self._check(name, written, key)
+            note = {"snapshot": snapshot, "columns": _columns(written.schema), "visible": columns,
+                    "includes": includes, "bucket_by": bucket_by, "buckets": buckets}
+            self._note(name, version + 1, note)
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(snapshot)}")
+            self._delete(f"{self.folder}/{snapshot}")
             raise
-        self._show(name, snapshot, columns, includes)
-        for other in self._snapshots(name) - {snapshot, replaced}:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(other)}")
+        self._show(name, note)
+        for old, other in self._notes(name).items():
+            if old < version + 1 - self.keep:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(other['snapshot'])}")
+                self._delete(f"{self.folder}/{other['snapshot']}")
+                self._delete(f"{self.folder}/_notes/{name}/{old:012d}.json")
+        for watch in self.watchers:
+            watch()
         return rows
 
     def append_rows(self, name: str, rows: Sequence[tuple], schema: T.StructType) -> None:
@@ -148,27 +177,66 @@ class Store:
     def _name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
-    def _create_target(self, name: str, schema: T.StructType) -> None:
-        if not self.exists(name):
-            snapshot = f"{name}__{uuid.uuid4().hex}"
-            self.spark.sql(f"CREATE TABLE {self._name(snapshot)} ({_columns(schema)}) USING parquet")
-            self._show(name, snapshot, schema.names)
-
-    def _show(self, name: str, snapshot: str, columns: Sequence[str], includes: int = 0) -> None:
-        visible = ", ".join(f"`{c}`" for c in columns)
+    def _open_target(self, name: str, schema: T.StructType) -> None:
+        version, note = self._current(name)
+        if not version:
+            note = {"snapshot": f"{name}__{uuid.uuid4().hex}", "columns": _columns(schema), "visible": schema.names,
+                    "includes": 0, "bucket_by": None, "buckets": None}
+            self._note(name, 1, note)
+        self._show(name, note)
+
+    def _show(self, name: str, note: dict) -> None:
+        laid_out = (
+            f"CLUSTERED BY ({note['bucket_by']}) SORTED BY ({note['bucket_by']}) INTO {note['buckets']} BUCKETS "
+            if note["bucket_by"] else "")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._name(name)} TBLPROPERTIES ('{INCLUDED}' = '{includes}') "
-            f"AS SELECT {visible} FROM {self._name(snapshot)}"
-        )
-
-    def _published(self, name: str) -> str | None:
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._name(name)}")
-        text = described.where(F.col("col_name") == "View Text").first()
-        found = re.search(rf"{name}__\w+", text["data_type"]) if text else None
-        return found.group() if found else None
+            f"CREATE TABLE IF NOT EXISTS {self._name(note['snapshot'])} ({note['columns']}) USING parquet {laid_out}"
+            f"LOCATION '{self.folder}/{note['snapshot']}'")
+        visible = ", ".join(f"`{c}`" for c in note["visible"])
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT {visible} FROM {self._name(note['snapshot'])}")
 
-    def _snapshots(self, name: str) -> set[str]:
-        return {r["tableName"] for r in self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{name}__*'").collect()}
+    def _add_load(self, name: str, number: int, folder: str) -> None:
+        self.spark.sql(
+            f"ALTER TABLE {self._name(name)} ADD IF NOT EXISTS PARTITION (load_no = {number}) LOCATION '{folder}'")
+
+    def _current(self, name: str) -> tuple[int, dict]:
+        notes = self._notes(name)
+        return max(notes.items(), key=lambda n: n[0], default=(0, {}))
+
+    def _path(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(path)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _notes(self, name: str) -> dict[int, dict]:
+        """By number; a note is a small file of its own."""
+        folder, files = self._path(f"{self.folder}/_notes/{name}")
+        if not files.exists(folder):
+            return {}
+        out = {}
+        for found in files.listStatus(folder):
+            if found.getPath().getName().endswith(".json"):
+                stream = files.open(found.getPath())
+                raw = bytes(stream.readAllBytes())
+                stream.close()
+                out[int(found.getPath().getName().removesuffix(".json"))] = json.loads(raw)
+        return out
+
+    def _note(self, name: str, number: int, note: dict) -> None:
+        """Written aside and renamed, which fails if the number is taken."""
+        path, files = self._path(f"{self.folder}/_notes/{name}/{number:012d}.json")
+        aside, _ = self._path(f"{self.folder}/_notes/{name}/{uuid.uuid4().hex}.new")
+        stream = files.create(aside, False)
+        stream.write(json.dumps(note).encode())
+        stream.close()
+        if files.exists(path) or not files.rename(aside, path):
+            files.delete(aside, False)
+            raise FileExistsError(f"{self.database}.{name}: another writer was faster")
+
+    def _delete(self, path: str) -> None:
+        path, files = self._path(path)
+        files.delete(path, True)
 
     def _check(self, name: str, written: DataFrame, key: Sequence[str]) -> int:
         report = key_report(written, key).first()

@@ -379,15 +379,15 @@ ORACLE: dict[str, str] = {
         versions=ranged("nation_versions", "nationkey", "1900-01-01"),
     ),
     "mart_fallback_attributes": sql(
-        """select salesorderlinekey,
-                  case when c.city <> '[Not Applicable]' then c.city else r.city end as city_combined,
-                  case when c.state_province <> '[Not Applicable]' then c.state_province else r.state_province end
+        """select line.salesorderlinekey,
+                  coalesce(nullif(buyer.city, '[Not Applicable]'), shop.city) as city_combined,
+                  coalesce(nullif(buyer.state_province, '[Not Applicable]'), shop.state_province)
                       as state_province_combined,
-                  case when c.country_region <> '[Not Applicable]' then c.country_region else r.country_region end
+                  coalesce(nullif(buyer.country_region, '[Not Applicable]'), shop.country_region)
                       as country_region_combined
-           from fact
-           join newest_customers c on c.customerkey = fact.customerkey
-           join resellers r on r.resellerkey = fact.resellerkey""",
+           from fact line
+           join newest_customers buyer using (customerkey)
+           join resellers shop on shop.resellerkey = line.resellerkey""",
         newest_customers="select distinct on (customerkey) * from customers order by customerkey, update_ts desc",
     ),
     "sales_mart": sql(MART, **dims("1900-01-01")),
