@@ -1,0 +1,213 @@
+"""Language, SimHash, string tiling, page differencing and attention, against brute force and odd input."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import attention, decontam, langid, lm, pagediff, simhash
+from tidemark.llm.common import ship
+
+ODD = [(1, "alpha beta gamma delta epsilon", "x", 1), (1, "alpha beta gamma delta epsilon", "x", 1), (2, None, "x", 2),
+       (3, "", "x", 3), (None, "alpha beta gamma delta epsilon", "x", 4), (4, "12 34 !?", "x", 5), (5, "z" * 70_000, None, 6),
+       (None, None, None, None)]
+SCHEMA = "doc_id long, text string, lang string, fp long"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
+@pytest.fixture
+def odd(make):
+    return make(ODD, SCHEMA)
+
+
+def test_ngrams_in_pieces(monkeypatch):
+    random.seed(1)
+    text = "".join(random.choice("ab C1é ") for _ in range(3000))
+    whole = langid.ngrams(text)
+    monkeypatch.setattr(langid, "CHARS_AT_ONCE", 7)
+    for a, b in zip(whole, langid.ngrams(text), strict=True):
+        assert (a == b).all()
+
+
+def test_language_of_odd_and_empty_tables(spark, make, odd):
+    profiles = langid.learn(odd)
+    found = langid.with_language(odd, profiles).collect()
+    assert len(found) == len(ODD)
+    assert {r.lang_pred for r in found if not r.text or r.text == "12 34 !?"} == {"und"}
+    assert {r.lang_pred for r in found if r.text and "alpha" in r.text} == {"x"}
+    empty = make([], SCHEMA)
+    assert langid.with_language(empty, langid.learn(empty)).count() == 0
+    assert [r.lang_pred for r in langid.with_language(odd, langid.learn(empty)).collect()] == ["und"] * len(ODD)
+
+
+def test_held_out_accuracy(spark, folder):
+    from tidemark.llm.queries import language
+
+    found = language(spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    held = found.where("held_out").join(docs, "doc_id")
+    assert held.where("lang = lang_pred").count() >= 0.95 * held.count() > 0
+
+
+@pytest.mark.parametrize(("parts", "bucket"), [(2, 1024), (2, 2), (1, 0)])
+def test_ball_links_connect_what_all_pairs_do(make, parts, bucket):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    prints = {0, *map(int, base)}
+    for x in base.tolist():
+        for _ in range(6):
+            flips = rng.choice(64, rng.integers(1, 6), replace=False)
+            x ^= sum(1 << int(b) for b in flips)
+            prints.add(x)
+    signed = sorted(int(np.uint64(x).view(np.int64)) for x in prints)
+    links = simhash.ball_links(make([(x,) for x in signed], "fp long"), 4, parts, bucket)
+    roots = {r.node: r.root for r in simhash.components(links).collect()}
+    label = {x: x for x in signed}
+    for _ in signed:
+        for a in signed:
+            for b in signed:
+                if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4:
+                    label[a] = label[b] = min(label[a], label[b])
+    assert {x: roots.get(x, x) for x in signed} == label
+
+
+def test_near_duplicates_of_odd_tables(make, odd):
+    found = simhash.near_duplicates(odd).collect()
+    assert len(found) == len(ODD)
+    assert {r.component_id for r in found if r.fingerprint == 0} == {2}
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert sorted(kept.collect(), key=lambda r: r.doc_id)[:2] == [odd.collect()[0], odd.collect()[2]]
+    assert kept.count() == len({r.component_id for r in found})
+    assert simhash.one_of_each(make([], SCHEMA)).count() == 0
+
+
+def brute_tiles(doc, item, least):
+    used_doc, used_item, total = set(), set(), 0
+    while True:
+        best = (least - 1, 0, 0)
+        for i in range(len(doc)):
+            for j in range(len(item)):
+                n = 0
+                while (i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n]
+                       and i + n not in used_doc and j + n not in used_item):
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return total
+        used_doc |= set(range(i, i + n))
+        used_item |= set(range(j, j + n))
+        total += n
+
+
+def test_tiling_equals_the_plain_algorithm():
+    random.seed(5)
+    for _ in range(300):
+        item = [random.choice("abc") for _ in range(random.randrange(1, 14))]
+        doc = [random.choice("abcd") for _ in range(random.randrange(0, 25))]
+        least = min(2, len(item))
+        block = decontam.Block([(1, [w.encode() for w in item])], least, 0.01)
+        got = block.found(" ".join(doc))
+        assert (got[0][2] if got else 0) == brute_tiles(doc, item, least)
+
+
+def test_leaks_moved_and_in_blocks(make, odd):
+    benchmark = make([(7, "One two three four five. Six seven eight nine ten!"), (8, "a b"), (9, None), (None, "q w e r t")],
+                     "item_id long, text string")
+    docs = make([(1, "x six SEVEN eight nine ten y one two three four five z", 0), (2, "one two x four five", 0),
+                 (3, None, 0), (3, "a  b", 0), (3, "a  b", 0)], "doc_id long, text string, found int")
+    for size in (1000, 1):
+        got = decontam.contaminated(docs, benchmark, block_tokens=size)
+        hits = sorted((r.doc_id, r.found_[0].item_id, r.found_[0].coverage, r.found_[0].tiles) for r in got.collect())
+        assert hits == [(1, 7, 1.0, 2), (3, 8, 1.0, 1), (3, 8, 1.0, 1)]
+        clean = decontam.without_contaminated(docs, benchmark, block_tokens=size)
+        assert sorted((r.doc_id, r.text) for r in clean.collect() if r.text) == [(2, "one two x four five")]
+        assert clean.count() == 2 and clean.columns == docs.columns
+    assert decontam.contaminated(odd, benchmark.where("false")).count() == 0
+
+
+def test_alignment_is_longest(monkeypatch):
+    def length(a, b):
+        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
+        return rows[-1][-1]
+
+    random.seed(2)
+    for bits in (1 << 28, 20):
+        monkeypatch.setattr(pagediff, "TABLE_BITS", bits)
+        for _ in range(500):
+            a, b = ([random.randrange(4) for _ in range(random.randrange(12))] for _ in "ab")
+            got = pagediff.aligned(a, b)
+            rest = iter(b)
+            assert len(got) == length(a, b) and all(any(y == a[k] for y in rest) for k in got)
+
+
+def test_pages_without_marks_lose_their_template(make):
+    page = "<body><div>Shop of things</div><p>{0}</p><p>Body &amp;  of\n {0}<br>end<div>Call us</div><script>x('</p>')</script>"
+    rows = [(k, f"http://h.example/a/{k}?q=1", page.format(w), k) for k, w in enumerate(["one", "two", "three"])]
+    rows += [(9, "http://alone.example/", page.format("nine"), 9), (10, None, None, 0), (11, "::", "", 0), rows[0]]
+    got = pagediff.main_text(make(rows, "page_id long, url string, html string, text int")).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows)
+    assert texts[0] == "one\n\nBody & of one end" and texts[2] == "three\n\nBody & of three end"
+    assert texts[9] == "Shop of things\n\nnine\n\nBody & of nine end\n\nCall us" and texts[10] == texts[11] == ""
+
+
+def test_marked_pages_keep_their_article():
+    html = ('<nav>m</nav><header>h</header><article><header><h1>T</h1></header><p>a &lt;b&gt;<p>c</p><aside>s</aside>'
+            '<section class="comments"><p>no</p></section></article><div class="cookie-notice">n</div><footer>f')
+    assert pagediff.lines_of(html) == (["T", "a <b>", "c"], [True] * 3)
+
+
+def test_gradient():
+    shape = attention.Shape(known=64, width=8, hidden=8, heads=2)
+    flat = attention.initial(shape).astype(np.float64)
+    rng = np.random.default_rng(0)
+    windows = rng.integers(0, 65, (6, attention.WINDOW + 1))
+    windows[0, 9:] = -1
+
+    def loss(x):
+        return attention.gradient(shape, x, np.maximum(windows[:, :-1], 0), np.maximum(windows[:, 1:], 0), windows[:, 1:] >= 0)
+
+    grad = loss(flat)[1]
+    for k in rng.integers(0, len(flat), 20):
+        step = np.zeros_like(flat)
+        step[k] = 1e-5
+        assert abs((loss(flat + step)[0] - loss(flat - step)[0]) / 2e-5 - grad[k]) < 1e-5
+
+
+def test_windows_score_each_place_once():
+    lengths = np.array([1, 15, 16, 17, 28, 29, 100])
+    places, scored = lm.windows_over(lengths)
+    assert sorted(places[scored].tolist()) == list(range(lengths.sum()))
+
+
+def test_probabilities_sum_to_one():
+    shape = attention.Shape(known=64, width=8, hidden=8, heads=2)
+    flat = attention.initial(shape)
+    inputs = np.zeros((65, attention.WINDOW), np.int64)
+    targets = np.repeat(np.arange(65)[:, None], attention.WINDOW, 1)
+    scored = np.zeros(targets.shape, bool)
+    scored[:, 5] = True
+    logs = attention.log10_probabilities(shape, flat, inputs, targets, scored)
+    assert abs((10**logs).sum() - 1) < 1e-4
+
+
+def test_scores_of_odd_tables(spark, make, odd):
+    from pyspark.sql import functions as F
+
+    got = lm.scored(odd, F.col("doc_id") != 3).collect()
+    assert len(got) == len(ODD)
+    assert {r.n_tokens for r in got} == {1, 4, 6, 2}
+    assert {r.train_tokens for r in got} == {6 + 6 + 1 + 4 + 2}
+    for r in got:
+        assert r.score < 0 and r.base_score < 0
+    assert lm.scored(make([], SCHEMA), F.lit(True)).count() == 0

@@ -65,11 +65,13 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     for turn in range(rounds):
         loads = _loads(cells, shards)
         room = [max(0, q - n) for q, n in zip(quotas, loads, strict=True)]
-        there = cells.groupBy("link", "shard").agg(F.sum("n").alias("n"))
-        has_room = _by_shard(F.col("shard"), room) > 0
+        there = cells.groupBy("link", "shard").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+        # One entry for each shard; a shard counts if the smallest cell fits in.
         neighbours = there.groupBy("link").agg(
-            F.max(F.when(has_room, F.struct("n", (-F.col("shard")).alias("negated")))).alias("most"),
-            F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("by_shard"))
+            F.collect_list(F.struct("n", (-F.col("shard")).alias("negated"))).alias("all"),
+            F.min("least").alias("least"), F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("by_shard"))
+        neighbours = neighbours.select("link", "by_shard", F.array_max(F.filter(
+            "all", lambda s: _by_shard(-s["negated"], room) >= F.col("least"))).alias("most"))
         seen = cells.join(neighbours, "link")
         own, most = F.element_at("by_shard", F.col("shard")), F.col("most.n")
         target = -F.col("most.negated")
