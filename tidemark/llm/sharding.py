@@ -46,7 +46,7 @@ def _granted(requests: DataFrame, room: list[int], salt: int) -> DataFrame:
     )  # at most BUCKETS rows for each shard
     known = requests.join(F.broadcast(sums), ["wanted", "bucket"])
     edge = (F.col("upto") > F.col("room")) & (F.col("upto") - F.col("own") < F.col("room"))
-    queue = Window.partitionBy("wanted").orderBy(F.xxhash64("link"), "link", "s0")
+    queue = Window.partitionBy("wanted").orderBy(F.xxhash64("link"), "link", "n", "s0")
     inside = (
         known.where(edge).withColumn("queue", F.sum("n").over(queue.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("granted", F.col("upto") - F.col("own") + F.col("queue") <= F.col("room"))
