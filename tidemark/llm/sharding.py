@@ -26,34 +26,32 @@ def _by_shard(shard: Column, values: list[int]) -> Column:
 
 
 def _loads(cells: DataFrame, shards: int) -> list[int]:
-    loads = [0] * shards
-    for shard, n in cells.groupBy("shard").agg(F.sum("n")).collect():
-        loads[shard] = n
-    return loads
+    found = cells.agg(*(F.sum(F.when(F.col("shard") == k, F.col("n"))) for k in range(shards))).first()
+    return [n or 0 for n in found]
 
 
-def _granted(requests: DataFrame, room: list[int], salt: int) -> DataFrame:
-    """Adds ``granted`` to rows (link, s0, n, wanted): true while the wanted shard has room.
+def _queued(cells: DataFrame, turn: int) -> DataFrame:
+    """Adds ``queue``: the rows that ask for the wanted shard in a cell's bucket, up to the cell itself.
 
-    Groups queue in the order of a hash. Sums over buckets of that order decide all buckets but the one in which a
-    shard's room ends; only there rows are summed one by one.
+    Groups queue in the order of a hash, another one in each turn; within a group small cells come first.
     """
-    requests = cut(requests.withColumn("bucket", F.pmod(F.xxhash64(F.lit(salt), "link"), F.lit(BUCKETS))))
-    upto = Window.partitionBy("wanted").orderBy("bucket")
+    place = Window.partitionBy("wanted", "bucket").orderBy(F.xxhash64(F.lit(turn), "link"), "link", "n", "s0")
+    return cells.withColumn("bucket", F.pmod(F.xxhash64("link"), F.lit(BUCKETS))).withColumn(
+        "queue", F.sum("n").over(place.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def _granted(queued: DataFrame, room: list[int], turn: int) -> DataFrame:
+    """Adds ``granted`` to queued cells (link, s0, n, wanted, bucket, queue): true while the wanted shard has room."""
+    upto = Window.partitionBy("wanted").orderBy(F.xxhash64(F.lit(turn), "bucket"), "bucket")
     sums = (
-        requests.groupBy("wanted", "bucket").agg(F.sum("n").alias("own"))
-        .withColumn("upto", F.sum("own").over(upto)).withColumn("room", _by_shard(F.col("wanted"), room))
+        queued.where("wanted is not null").groupBy("wanted", "bucket").agg(F.sum("n").alias("own"))
+        .withColumn("before", F.sum("own").over(upto) - F.col("own")).drop("own")
     )  # at most BUCKETS rows for each shard
-    known = requests.join(F.broadcast(sums), ["wanted", "bucket"])
-    edge = (F.col("upto") > F.col("room")) & (F.col("upto") - F.col("own") < F.col("room"))
-    queue = Window.partitionBy("wanted").orderBy(F.xxhash64("link"), "link", "n", "s0")
-    inside = (
-        known.where(edge).withColumn("queue", F.sum("n").over(queue.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("granted", F.col("upto") - F.col("own") + F.col("queue") <= F.col("room"))
+    fits = F.col("before") + F.col("queue") <= _by_shard(F.col("wanted"), room)
+    return (
+        queued.join(F.broadcast(sums), ["wanted", "bucket"], "left")
+        .withColumn("granted", F.coalesce(fits, F.lit(False))).drop("bucket", "queue", "before")
     )
-    names = [*requests.columns, "granted"]
-    rest = known.where(~edge).withColumn("granted", F.col("upto") <= F.col("room"))
-    return rest.select(*names).unionAll(inside.select(*names)).drop("bucket")
 
 
 def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
@@ -62,9 +60,10 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     Ends when no move is granted, or after ``rounds``.
     """
     shards = len(quotas)
+    loads = _loads(cells, shards)
     for turn in range(rounds):
-        loads = _loads(cells, shards)
         room = [max(0, q - n) for q, n in zip(quotas, loads, strict=True)]
+        cells = cells.repartition("link")  # both sums and the join below keep to it
         there = cells.groupBy("link", "shard").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
         # One entry for each shard; a shard counts if the smallest cell fits in.
         neighbours = there.groupBy("link").agg(
@@ -79,17 +78,17 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
             (most > own) | ((most == own) & (target < F.col("shard"))))
         asks = seen.withColumn("wanted", F.when(better & (target != F.col("shard")), target)).select(
             "link", "s0", "n", "shard", "wanted")
-        asks = cut(asks)
-        answered = cut(_granted(asks.where("wanted is not null"), room, turn))
-        moved = answered.where("granted").count()
-        if not moved:
+        moved = _granted(cut(_queued(asks, turn)), room, turn)
+        cells = cut(moved.withColumn("shard", F.when(F.col("granted"), F.col("wanted")).otherwise(F.col("shard")))
+                    .select("link", "s0", "n", "shard", "granted"))
+        loads = _loads(cells, shards)
+        if cells.where("granted").isEmpty():
             break
-        after = answered.withColumn("shard", F.when(F.col("granted"), F.col("wanted")).otherwise(F.col("shard")))
-        cells = cut(asks.where("wanted is null").drop("wanted").unionAll(after.select("link", "s0", "n", "shard")))
-    loads = _loads(cells, shards)
+        cells = cells.drop("granted")
+    cells = cells.select("link", "s0", "n", "shard")
     if all(n <= q for n, q in zip(loads, quotas, strict=True)):
         return cells
-    stay = _granted(cells.withColumn("wanted", F.col("shard")), quotas, -1)
+    stay = _granted(cut(_queued(cells.withColumn("wanted", F.col("shard")), -1)), quotas, -1)
     return cut(stay.select("link", "s0", "n", F.when(F.col("granted"), F.col("shard")).alias("shard")))
 
 
