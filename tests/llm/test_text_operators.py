@@ -1,8 +1,10 @@
 """Language, SimHash, string tiling, page differencing and attention, against brute force and odd input."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import attention, decontam, langid, lm, pagediff, simhash
@@ -211,3 +213,36 @@ def test_scores_of_odd_tables(spark, make, odd):
     for r in got:
         assert r.score < 0 and r.base_score < 0
     assert lm.scored(make([], SCHEMA), F.lit(True)).count() == 0
+
+
+def test_training_windows_hold_every_id_once(make):
+    texts = ["one two", "", None, " ".join(f"w{k}" for k in range(500))]
+    got = lm.training_windows(make([(t,) for t in texts], "body string"), lm.tokenizer_path(), "body").collect()
+    targets = np.sort(np.concatenate([np.frombuffer(r.ids, np.uint16)[1:] for r in got]))
+    encode = lm.encoder(lm.tokenizer_path())
+    expected = [encode.ids(lm.words_of(t)) for t in texts]
+    assert targets[targets != lm.BEHIND].tolist() == np.sort(np.concatenate([*expected, [lm.END] * len(texts)])).tolist()
+
+
+def test_every_window_is_trained_on_whatever_their_number(make, monkeypatch):
+    seen = []
+
+    def train(shape, flat, windows, steps, seed, batch, **_):
+        met, order = set(), attention.gradient
+        monkeypatch.setattr(attention, "gradient", lambda s, f, inputs, *r: (met.update((inputs[:, 0] * 1000 + inputs[:, 1]).tolist()), (0, f * 0))[1])
+        original(shape, flat, windows, steps, seed, batch=batch)
+        monkeypatch.setattr(attention, "gradient", order)
+        seen.append(met)
+        return flat
+
+    original = attention.train
+    monkeypatch.setattr(lm, "train", train)
+    vocabulary = lm.Vocabulary(np.ones(lm.IDS), attention.Shape(known=64, width=8, hidden=8, heads=2))
+    vocabulary.index[:] = np.arange(lm.IDS)
+    for n in (5, 200, 100_000):
+        ids = np.zeros((n, attention.WINDOW + 1), np.uint16)
+        ids[:, 0], ids[:, 1] = np.divmod(np.arange(n), 1000)
+        frame = pd.DataFrame({"ids": [row.tobytes() for row in ids]})
+        seen.clear()
+        lm._replica(SimpleNamespace(value=(np.zeros(3, np.float32), vocabulary)), 0, 1)((0,), frame)
+        assert seen == [set(range(n))]
