@@ -95,6 +95,26 @@ def test_shards_are_even_and_whole(make, copies):
         assert len({r.shard for r in got if r.source == "c"}) <= 8
 
 
+@pytest.mark.parametrize(("linked", "most"), [(1600, 8), (3200, 16)])
+def test_pairs_join_without_room(make, linked, most):
+    rows = [(k, f"pair {k // 2}" if k < linked else f"alone {k}") for k in range(3200)]
+    got = sharding.shard_rows(make(rows, "doc_id long, text string"), 16).collect()
+    assert set(Counter(r.shard for r in got).values()) == {200}
+    pairs = {}
+    for r in got:
+        if r.doc_id < linked:
+            pairs.setdefault(r.doc_id // 2, set()).add(r.shard)
+    assert sum(len(s) > 1 for s in pairs.values()) <= most
+
+
+def test_circles():
+    got = sharding._circles({0: {1: 5, 2: 1}, 1: {0: 3, 2: 2}, 2: {0: 2}, 3: {0: 9}})
+    assert all(sum(n for (a, _), n in got.items() if a == k) == sum(n for (_, b), n in got.items() if b == k) for k in range(4))
+    assert sum(got.values()) >= 9 and (3, 0) not in got
+    free = [0, 1, 0]
+    assert sharding._allowed([(0, 1, 1, 3), (2, 0, 2, 1)], free) == [(0, 1, 1, 1)] and free == [1, 0, 0]
+
+
 def test_no_documents_to_shard(make):
     assert sharding.shard_rows(make([], SCHEMA)).count() == 0
 

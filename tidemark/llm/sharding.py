@@ -2,8 +2,9 @@
 
 Documents with equal links (here: equal texts) should share a shard, and all shards should have the same number of
 rows, give or take one. Every document starts in a shard given by its hash. Again and again the documents of a group
-look up their neighbours' shards by a join and ask to move to the one where most of them are; a move is granted while
-that shard has room. Rows without linked partners then fill every shard up to its quota exactly.
+look up their neighbours' shards by a join and ask to move to the one where most of them are, in a tie to one drawn
+anew each time. A move is granted while that shard has room, or in a circle of moves of equal size (in the least case
+two rows that change places), which needs none. Rows without linked partners then fill every shard up to its quota.
 
 What moves are cells, the rows of a group with the same first shard: rows of a cell are alike, so the state has one
 row for each, and a group of copies that holds a third of all rows is a few rows that differ in shard. A group larger
@@ -18,7 +19,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 BUCKETS = 4096
+#: Parts of all requests of one size from one shard to another, so that they are not numbered in one task.
+REQUEST_BUCKETS = 256
 ROUNDS = 20
+#: Turns without a move before the end; targets and ties differ from turn to turn.
+QUIET = 4
+#: Rows of cells up to this size that found no room are kept side by side.
+SMALL = 64
 
 
 def _by_shard(shard: Column, values: list[int]) -> Column:
@@ -54,39 +61,117 @@ def _granted(queued: DataFrame, room: list[int], turn: int) -> DataFrame:
     )
 
 
+def _circles(asked: dict[int, dict[int, int]]) -> dict[tuple[int, int], int]:
+    """How many of the moves ``asked[a][b]`` from a to b can be made in circles, so that no place gains or loses.
+
+    Takes circles out until none is left; changes ``asked``.
+    """
+    granted: dict[tuple[int, int], int] = {}
+    for start in list(asked):
+        path, at = [start], {start: 0}
+        while path:
+            here = path[-1]
+            there = next(iter(asked.get(here, ())), None)
+            if there is None:  # no circle leads through here
+                del at[path.pop()]
+                if path:
+                    del asked[path[-1]][here]
+            elif there in at:
+                circle = [*path[at[there] :], there]
+                steps = list(zip(circle, circle[1:], strict=False))
+                n = min(asked[a][b] for a, b in steps)
+                for a, b in steps:
+                    granted[a, b] = granted.get((a, b), 0) + n
+                    asked[a][b] -= n
+                    if not asked[a][b]:
+                        del asked[a][b]
+                for place in path[at[there] + 1 :]:
+                    del at[place]
+                del path[at[there] + 1 :]
+            else:
+                at[there] = len(path)
+                path.append(there)
+    return granted
+
+
+def _allowed(requests: list[tuple[int, int, int, int]], free: list[int]) -> list[tuple[int, int, int, int]]:
+    """(shard, wanted, n, allowed) for requests (shard, wanted, n, how many); brings ``free``, the room, up to date.
+
+    Room is a place of its own that everyone may come from and as many may go to as fit in.
+    """
+    out, room, unlimited = [], -1, 1 << 62
+    for size in sorted({n for _, _, n, _ in requests}):
+        asked: dict[int, dict[int, int]] = {}
+        for shard, wanted, n, count in requests:
+            if n == size:
+                asked.setdefault(shard, {})[wanted] = count
+        asked[room] = dict.fromkeys(asked, unlimited)
+        for k, rows in enumerate(free):
+            if rows >= size:
+                asked.setdefault(k, {})[room] = rows // size
+        for (a, b), count in _circles(asked).items():
+            if a == room:
+                free[b] += size * count
+            elif b == room:
+                free[a] -= size * count
+            else:
+                out.append((a, b, size, count))
+    return out
+
+
+def _moved(asks: DataFrame, allowed: list[tuple[int, int, int, int]], turn: int) -> DataFrame:
+    """Cells (link, s0, n, shard) after as many of the requests (shard, wanted, n) as are allowed."""
+    request = ["shard", "wanted", "n"]
+    bucketed = asks.withColumn("bucket", F.pmod(F.xxhash64(F.lit(turn), "link"), F.lit(REQUEST_BUCKETS)))
+    asking = bucketed.where("wanted is not null")
+    upto = Window.partitionBy(*request).orderBy("bucket")
+    before = (
+        asking.groupBy(*request, "bucket").agg(F.count("*").alias("own"))
+        .withColumn("before", F.sum("own").over(upto) - F.col("own")).drop("own"))
+    limits = asks.sparkSession.createDataFrame(allowed, "shard int, wanted int, n long, allowed long")
+    place = F.row_number().over(Window.partitionBy(*request, "bucket").orderBy("link", "s0"))
+    numbered = (
+        asking.withColumn("place", place).join(before, [*request, "bucket"]).join(F.broadcast(limits), request, "left")
+        .withColumn("shard", F.when(F.col("before") + F.col("place") <= F.col("allowed"), F.col("wanted"))
+                    .otherwise(F.col("shard"))))
+    names = ["link", "s0", "n", "shard"]
+    return asks.where("wanted is null").select(names).unionAll(numbered.select(names))
+
+
 def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Cells (link, s0, n, shard) after label propagation; null shards where there was no room at all.
 
-    Ends when no move is granted, or after ``rounds``.
+    In every other turn groups ask only for shards with room for one of their cells elsewhere, else for any. Ends when no move
+    is granted any more, or after ``rounds``. Each move brings a row to at least as many of its group, so none comes
+    back.
     """
     shards = len(quotas)
-    loads = _loads(cells, shards)
+    free = [q - n for q, n in zip(quotas, _loads(cells, shards), strict=True)]
+    quiet = 0
     for turn in range(rounds):
-        room = [max(0, q - n) for q, n in zip(quotas, loads, strict=True)]
         cells = cells.repartition("link")  # both sums and the join below keep to it
         there = cells.groupBy("link", "shard").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
-        # One entry for each shard; a shard counts if the smallest cell fits in.
+        # One entry for each shard; in a tie all of a group ask for the same one.
         neighbours = there.groupBy("link").agg(
-            F.collect_list(F.struct("n", (-F.col("shard")).alias("negated"))).alias("all"),
-            F.min("least").alias("least"), F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("by_shard"))
-        neighbours = neighbours.select("link", "by_shard", F.array_max(F.filter(
-            "all", lambda s: _by_shard(-s["negated"], room) >= F.col("least"))).alias("most"))
-        seen = cells.join(neighbours, "link")
-        own, most = F.element_at("by_shard", F.col("shard")), F.col("most.n")
-        target = -F.col("most.negated")
-        better = F.col("most").isNotNull() & (
-            (most > own) | ((most == own) & (target < F.col("shard"))))
-        asks = seen.withColumn("wanted", F.when(better & (target != F.col("shard")), target)).select(
-            "link", "s0", "n", "shard", "wanted")
-        moved = _granted(cut(_queued(asks, turn)), room, turn)
-        cells = cut(moved.withColumn("shard", F.when(F.col("granted"), F.col("wanted")).otherwise(F.col("shard")))
-                    .select("link", "s0", "n", "shard", "granted"))
-        loads = _loads(cells, shards)
-        if cells.where("granted").isEmpty():
+            F.collect_list(F.struct("n", F.xxhash64(F.lit(turn), "link", "shard").alias("drawn"), "shard", "least")).alias("all"),
+            F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("by_shard"))
+        open_to = F.filter("all", lambda s: F.exists("all", lambda o: (o["shard"] != s["shard"]) & (o["n"] <= s["n"]) & (
+            o["least"] <= _by_shard(s["shard"], free)))) if turn % 2 == 0 else F.col("all")
+        neighbours = neighbours.select("link", "by_shard", F.array_max(open_to).alias("most"))
+        better = (F.col("most.n") >= F.element_at("by_shard", F.col("shard"))) & (F.col("most.shard") != F.col("shard"))
+        asks = cut(cells.join(neighbours, "link").select(
+            "link", "s0", "n", "shard", F.when(better, F.col("most.shard")).alias("wanted")))
+        # At most one row for each pair of shards and size of a cell.
+        requests = asks.where("wanted is not null").groupBy("shard", "wanted", "n").agg(F.count("*")).collect()
+        if not requests and turn % 2:
+            break
+        allowed = _allowed([tuple(r) for r in sorted(requests)], free)
+        quiet = 0 if allowed else quiet + 1
+        if quiet == QUIET:
             break
-        cells = cells.drop("granted")
-    cells = cells.select("link", "s0", "n", "shard")
-    if all(n <= q for n, q in zip(loads, quotas, strict=True)):
+        if allowed:
+            cells = cut(_moved(asks, allowed, turn))
+    if all(n >= 0 for n in free):
         return cells
     stay = _granted(cut(_queued(cells.withColumn("wanted", F.col("shard")), -1)), quotas, -1)
     return cut(stay.select("link", "s0", "n", F.when(F.col("granted"), F.col("shard")).alias("shard")))
@@ -120,8 +205,12 @@ def shard_rows(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text:
         own.where("link is not null").groupBy("link", "s0").agg(F.count("*").alias("n"))
         .withColumn("all", F.sum("n").over(of_link)).where("all > 1").drop("all").withColumn("shard", F.col("s0"))
     )
-    placed = propagate(cut(cells), quotas, rounds).where("shard is not null").select("link", "s0", "shard")
-    first = cut(own.join(placed, ["link", "s0"], "left"))
+    placed = propagate(cut(cells), quotas, rounds).select("link", "s0", "n", "shard")
+    together = F.col("shard").isNull() & (F.col("n") <= SMALL)
+    first = cut(
+        own.join(placed, ["link", "s0"], "left")
+        .withColumn("spread", F.when(together, F.xxhash64("link")).otherwise(F.col("spread")))
+        .withColumn("bucket", F.pmod(F.xxhash64("spread"), F.lit(BUCKETS)).cast("int")).drop("n"))
     taken = _loads(first.where("shard is not null").withColumn("n", F.lit(1)), shards)
     # The rest is ranked, bucket by bucket, and cut where each shard is full.
     rest = _numbered(first.where("shard is null"), [])
