@@ -163,6 +163,30 @@ def test_pages_without_marks_lose_their_template(make):
     assert texts[9] == "Shop of things\n\nnine\n\nBody & of nine end\n\nCall us" and texts[10] == texts[11] == ""
 
 
+@pytest.mark.parametrize("urls", [
+    [f"http://h.example/a/{k}" for k in range(7)], [f"http://h.example/view?id={k}" for k in range(7)],
+    ["http://h.example/view/"] * 7])
+def test_template_goes_beside_copies_and_behind_one_path(make, urls):
+    page = "<body><div>Shop of things</div><p>{0}</p><p>Body of {0}</p><p>End of {0}</p><div>Call us</div>"
+    words = ["one", "two", "two", "two", "two", "three", "four"]
+    rows = [(k, u, page.format(w) + f"<!--{k}-->") for k, (u, w) in enumerate(zip(urls, words, strict=True))]
+    rows += [(10, urls[2] + "x", ""), (11, "http://other.example/a/1", page.format("five"))]
+    got = pagediff.main_text(make(rows, "page_id long, url string, html string")).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows) and texts[10] == "" and texts[11].startswith("Shop of things")
+    for k, w in enumerate(words):
+        assert texts[k] == f"{w}\n\nBody of {w}\n\nEnd of {w}"
+
+
+def test_run_ends(make, monkeypatch):
+    monkeypatch.setattr(pagediff, "BLOCK", 3)
+    firsts = [0, 1, 7, 8, 12]
+    got = pagediff._run_ends(make([(k, k in firsts) for k in range(14)], "rank long, first boolean")).collect()
+    for r in got:
+        assert r.start == max(k for k in firsts if k <= r["rank"])
+        assert r.next == min((k for k in firsts if k > r["rank"]), default=None)
+
+
 def test_marked_pages_keep_their_article():
     html = ('<nav>m</nav><header>h</header><article><header><h1>T</h1></header><p>a &lt;b&gt;<p>c</p><aside>s</aside>'
             '<section class="comments"><p>no</p></section></article><div class="cookie-notice">n</div><footer>f')
