@@ -193,6 +193,21 @@ def test_marked_pages_keep_their_article():
     assert pagediff.lines_of(html) == (["T", "a <b>", "c"], [True] * 3)
 
 
+@pytest.mark.parametrize("around", [
+    "<div class='layout has-sidebar'>{}</div>", "<div id='page-with-comments'>{}</div>", "<form action=x>{}</form>",
+    "<form><main><div class='content has-sidebar'>{}</div></main></form>"])
+def test_words_around_an_article_do_not_drop_it(around):
+    inside = ("<span class=share>tell</span><article><h1>T</h1><p>a <span class='ad'>buy</span>b</p><div class=comments>"
+              "<article>no</article></div></article><p>by</p><div class=related><article>teaser</article></div>")
+    lines, marks = pagediff.lines_of("<nav>m</nav>" + around.format(inside))
+    assert lines == ["T", "a b", "by"] and marks[:2] == [True, True] and marks[2] == ("<main>" in around)
+
+
+def test_forms_and_words_without_an_article_stay_chrome():
+    assert pagediff.lines_of("<form>name</form><div class=comments>x<p>y</div>z<aside><article>s</article></aside>") == (
+        ["z"], [False])
+
+
 def test_gradient():
     shape = attention.Shape(known=64, width=8, hidden=8, heads=2)
     flat = attention.initial(shape).astype(np.float64)
