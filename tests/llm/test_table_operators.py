@@ -174,6 +174,24 @@ def test_surrogates(make):
     assert surrogates.surrogated(table.where("false"), "key").count() == 0
 
 
+def test_names_without_a_title(make):
+    rows = [(1, "Mr Smith came. Then Smith's dog, SMITH and blacksmith; smith."), (2, "John Smith and John."),
+            (3, "Mr John Brown, Dr John Brown, Prof Zed O'Brien-Smith; O'Brien-Smith left, Zed too."),
+            (4, "Smith alone"), (5, "Mr Zed Gray, Ms Quux Gray; Dr Quux Gray"), (6, "Mr Smith came. Then Smith's dog, SMITH and blacksmith; smith.")]
+    table = make(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_replaced) for r in surrogates.surrogated(table, "key").collect()}
+    smith = got[1][0].split()[1].rstrip(".")
+    assert smith != "Smith" and got[1] == (f"Mr {smith} came. Then {smith}'s dog, {smith.upper()} and blacksmith; smith.", 3)
+    assert got[6] == got[1] and got[4] == ("Smith alone", 0)
+    john = got[2][0].split()[0]
+    assert john != "John" and got[2] == (f"{john} {smith} and {john}.", 2)
+    words = got[3][0].replace(",", "").replace(";", "").replace(".", "").split()
+    assert words[1] == words[4] == john and words[2] == words[5] != "Brown" and got[3][1] == 5
+    assert "O'Brien" not in got[3][0] and words[8] == words[9] and words[7] == words[11] != "Zed"
+    again = got[5][0].replace(",", "").replace(";", "").split()
+    assert again[1] == words[7] and again[4] == again[7] != "Quux" and len({again[2], again[5], again[8]}) == 1
+
+
 def test_pipeline(spark, folder):
     import corpus_pipeline
 

@@ -7,6 +7,9 @@ where the original was (card check digits, address ranges); and for names of the
 Distinct entities get distinct surrogates, and no surrogate is an entity that occurs: candidates are checked against
 each other, against those already given and against all entities, and the losers try again until none is left. That
 works on the table of distinct entities, so a name in a third of all documents is one row of it.
+
+Names are found behind a title and where a listed given name stands before another capitalized word; their parts are
+then looked for in the rest of the same text. Names of which no mention is of either kind are not found.
 """
 
 from __future__ import annotations
@@ -34,6 +37,17 @@ GIVEN = {
     ("m", "greek"): "Αλέξης Γιώργος Κώστας Νίκος",
     ("f", "greek"): "Άννα Ελένη Μαρία Σοφία",
 }
+#: Given names by which a name without a title is found, besides those of GIVEN.
+LISTED = {
+    "m": "James John Robert Michael William Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Steven Andrew "
+         "Kenneth Kevin Brian George Edward Peter Henry Alexander Benjamin Samuel Simon Hans Jürgen Klaus Wolfgang "
+         "Stefan Thomas Andreas Jean Pierre Michel Philippe François Jacques Louis Juan José Carlos Luis Javier Miguel "
+         "Antonio Pedro Pablo Иван Александр Сергей Дмитрий Алексей Андрей Михаил Николай Владимир Γιάννης Δημήτρης",
+    "f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Margaret Sandra Ashley "
+         "Emily Donna Michelle Carol Amanda Anna Jane Alice Helen Catherine Christine Ursula Monika Sabine Petra Claudia "
+         "Marie Nathalie Isabelle Sophie Camille Carmen Ana Isabel Lucía Pilar Rosa Мария Ольга Наталья Татьяна "
+         "Екатерина Светлана Людмила Κατερίνα Βασιλική",
+}
 SURNAMES = {
     ("m", "latin"): "Abel Brand Corbin Dahl Engel Falk Garcia Holm Ibsen Jansen Keller Lopez Moreau Nolan Ortega Petit",
     ("m", "cyrillic"): "Антонов Белов Волков Громов Жуков Зайцев Козлов Лебедев",
@@ -58,6 +72,11 @@ ALPHABETS = (
 )
 
 _TITLES = "|".join([*MALE, *FEMALE, *EITHER])
+KNOWN = {gender: sorted({*LISTED[gender].split(), *(n for (g, _), names in GIVEN.items() if g == gender for n in names.split())})
+         for gender in "mf"}
+#: A part of a name, without the ending of a possessive.
+WORD = r"\p{Lu}(?:\p{L}|['’-](?!s(?!\p{L}))(?=\p{L}))+"
+TOKEN = rf"(?<![\p{{L}}\p{{N}}]){WORD}"
 #: In the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
@@ -70,11 +89,12 @@ PATTERNS = {
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}(?:[ .()/-]{0,2}\d{1,4}){2,6}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
              r"|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,3}}",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {WORD}(?: {WORD}){{0,3}}",
+    "person": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:{'|'.join([*KNOWN['m'], *KNOWN['f']])})(?: {WORD}){{1,3}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without a digit, an @ or a title holds nothing of the above; most searches end here.
-HINTS = "[0-9@]", rf"(?=[MHFSDPГ])(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? "
+#: A text without a digit, an @, a title or a listed name holds nothing of the above; most searches end here.
+HINTS = "[0-9@]", rf"(?=[MHFSDPГ])(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? ", PATTERNS["person"]
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -96,7 +116,7 @@ def mod97(text: Column) -> Column:
 def matches(text: Column) -> Column:
     """Everything in the text that looks like an entity, in order; an empty array for null."""
     none = F.array().cast("array<string>")
-    hinted = text.rlike(HINTS[0]) | text.rlike(HINTS[1])
+    hinted = reduce(lambda a, b: a | b, (text.rlike(h) for h in HINTS))
     return F.when(F.coalesce(hinted, F.lit(False)), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
@@ -119,20 +139,18 @@ def _script(word: Column) -> Column:
 def _parts(surface: Column, kind: Column) -> Column:
     """The entities of a match as (kind, canonical, form): form is how it is written there; kind is null for titles."""
     words = F.split(surface, " ")
-    title = F.regexp_replace(words[0], r"\.$", "")
-
-    def known(given: Column, gender: str) -> Column:
-        return given.isin(*(n for (g, _), names in GIVEN.items() if g == gender for n in names.split()))
-
+    title = F.when(kind == "name", F.regexp_replace(words[0], r"\.$", ""))
+    before = F.when(kind == "name", 1).otherwise(0)  # words of the title
+    given = F.when(F.size(words) - before > 1, F.element_at(words, before + 1))
     gender = (
         F.when(title.isin(*MALE), "m").when(title.isin(*FEMALE), "f")
-        .when(F.size(words) < 3, "u").when(known(words[1], "m"), "m").when(known(words[1], "f"), "f").otherwise("u"))
+        .when(given.isin(*KNOWN["m"]), "m").when(given.isin(*KNOWN["f"]), "f").otherwise("u"))
 
     def part(word: Column, i: Column) -> Column:
         script = _script(word)
         surname = F.when(script == "cyrillic", F.concat_ws(":", F.lit("surname"), gender, script)).otherwise(
             F.concat_ws(":", F.lit("surname"), F.lit("m"), script))
-        kind = F.when(i == 0, F.lit(None).cast("string")).when(i == F.size(words) - 1, surname).otherwise(
+        kind = F.when(i < before, F.lit(None).cast("string")).when(i == F.size(words) - 1, surname).otherwise(
             F.concat_ws(":", F.lit("given"), gender, script))
         return F.struct(kind.alias("kind"), F.lower(word).alias("canonical"), word.alias("form"))
 
@@ -141,7 +159,7 @@ def _parts(surface: Column, kind: Column) -> Column:
         F.when(kind == "email", F.lower(surface)).when(kind.isin("phone", "card", "ssn", "iban"), alnum)
         .otherwise(surface))
     single = F.array(F.struct(kind.alias("kind"), canonical.alias("canonical"), surface.alias("form")))
-    return F.when(kind == "name", F.transform(words, part)).otherwise(single)
+    return F.when(kind.isin("name", "person"), F.transform(words, part)).otherwise(single)
 
 
 def _stream(key: str, seed: Column, length: Column) -> Column:
@@ -238,13 +256,32 @@ def _name(kind: Column, stream: Column, attempt: Column) -> Column:
         kind.startswith("given:"), listed(GIVEN)).otherwise(listed(SURNAMES))
 
 
+def _settled(surfaces: DataFrame) -> DataFrame:
+    """Surfaces (surface, place, kind, canonical, form) with one kind for each name, settled over all its mentions.
+
+    A given name anywhere is one everywhere; the gender is that of most mentions that tell one.
+    """
+    own, gender, script = F.split("kind", ":"), F.split("kind", ":")[1], F.split("kind", ":")[2]
+    told = own[0].eqNullSafe("given") | (script == "cyrillic")  # other surnames have no gender
+    votes = F.sum(F.when(told & (gender == "m"), 1).when(told & (gender == "f"), -1).otherwise(0))
+    settled = (
+        surfaces.where(F.col("kind").contains(":")).groupBy("canonical")
+        .agg(F.min(own[0]).alias("family"), votes.alias("votes"), F.min(script).alias("script"))
+        .select(F.col("canonical"), F.concat_ws(
+            ":", "family", F.when((F.col("family") == "surname") & (F.col("script") != "cyrillic"), "m")
+            .when(F.col("votes") > 0, "m").when(F.col("votes") < 0, "f").otherwise("u"), "script").alias("settled")))
+    return surfaces.join(settled, "canonical", "left").select(
+        "surface", "place", F.when(F.col("kind").contains(":"), F.col("settled")).otherwise(F.col("kind")).alias("kind"),
+        "canonical", "form")
+
+
 def assign(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(kind, canonical, surrogate) for distinct entities (kind, canonical), by rounds of candidates and checks.
 
     A candidate is taken if it is no entity, nobody has it yet, and of those asking for it now this one comes first.
-    Entities of one family (given names, surnames, or one of the other kinds) share a space.
+    Entities of one family (names, or one of the other kinds) share a space.
     """
-    family = F.substring_index("kind", ":", 1)
+    family = F.when(F.col("kind").contains(":"), "name").otherwise(F.col("kind"))
     taken = cut(entities.select(family.alias("family"), F.col("canonical").alias("surrogate")).distinct())
     left, given = entities.select("kind", "canonical"), None
     for attempt in range(rounds):
@@ -284,18 +321,23 @@ def surrogated(docs: DataFrame, key: str, text: str = "text", count: str = "n_re
 
     Null texts stay null, texts without entities stay as they are, whole texts of any length are searched, and
     repeated rows stay repeated. The same entity has the same surrogate everywhere: e-mail addresses in any case,
-    numbers with any separators, names with any title. Candidates that are not valid (a card number with a wrong check
+    numbers with any separators, names with any title or none (see above for which are found). Candidates that are not valid (a card number with a wrong check
     digit) are left alone. Only texts that hold entities are shuffled. An empty table stays empty.
     """
     found, digest, count = free_name(docs, "pii_found"), free_name(docs, "pii_text"), free_name(docs, count)
     searched = docs.withColumn(found, matches(F.col(text)))
     held = searched.where(F.size(found) > 0).withColumn(digest, F.sha2(F.col(text), 256))
-    occurring = cut(
-        held.select(F.col(digest).alias("digest"), F.explode(F.array_distinct(found)).alias("surface")).distinct())
-    surfaces = cut(
+    with_name = F.exists(found, lambda m: m.rlike(f"{PATTERNS['name']}|{PATTERNS['person']}"))
+    seen = cut(
+        held.select(
+            F.col(digest).alias("digest"), F.array_distinct(found).alias("surfaces"),
+            F.when(with_name, F.array_distinct(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))).alias("tokens"))
+        .dropDuplicates(["digest"]))
+    occurring = seen.select("digest", F.explode("surfaces").alias("surface"))
+    surfaces = cut(_settled(
         occurring.select("surface").distinct().withColumn("kind", _kind(F.col("surface"))).where("kind is not null")
         .select("surface", F.posexplode(_parts(F.col("surface"), F.col("kind"))).alias("place", "part"))
-        .select("surface", "place", "part.*"))
+        .select("surface", "place", "part.*")))
     known = assign(surfaces.where("kind is not null").select("kind", "canonical").distinct(), key)
     written = F.coalesce(_written(F.col("kind"), F.col("surrogate"), F.col("form")), F.col("form"))
     replaced = (
@@ -305,11 +347,31 @@ def surrogated(docs: DataFrame, key: str, text: str = "text", count: str = "n_re
     by_text = (
         occurring.join(replaced, "surface").groupBy("digest")
         .agg(F.map_from_entries(F.collect_list(F.struct("surface", "written"))).alias("written")))
+    # Parts of a text's names that stand alone in it.
+    own = occurring.join(
+        surfaces.where(F.col("kind").contains(":")).join(known, ["kind", "canonical"]).select(
+            "surface", "kind", "canonical", "surrogate"), "surface").drop("surface").distinct()
+    alone = (
+        seen.select("digest", F.explode("tokens").alias("form")).withColumn("canonical", F.lower("form")).join(own, ["digest", "canonical"])
+        .select("digest", "form", _written(F.col("kind"), F.col("surrogate"), F.col("form")).alias("name"))
+        .groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("form", "name"))).alias("names")))
+    by_text = by_text.join(alone, "digest", "left")
     joined = held.join(by_text, held[digest] == by_text.digest, "left")
     pieces = F.split(F.col(text), ANY, -1)
+
+    def tokens(piece: Column) -> Column:
+        return F.regexp_extract_all(piece, F.lit(TOKEN), F.lit(0))
+
+    def named(piece: Column) -> Column:
+        return F.when(F.col("names").isNull(), piece).otherwise(F.array_join(F.zip_with(
+            F.split(piece, TOKEN, -1), F.concat(tokens(piece), F.array(F.lit(""))),
+            lambda rest, t: F.concat(rest, F.coalesce(F.element_at("names", t), t))), ""))
+
     new = F.array_join(F.zip_with(pieces, F.concat(F.col(found), F.array(F.lit(""))), lambda piece, m: F.concat(
-        piece, F.coalesce(F.element_at("written", m), m))), "")
-    number = F.size(F.filter(found, lambda m: F.element_at("written", m).isNotNull()))
+        named(piece), F.coalesce(F.element_at("written", m), m))), "")
+    number = F.size(F.filter(found, lambda m: F.element_at("written", m).isNotNull())) + F.when(
+        F.col("names").isNull(), 0).otherwise(F.size(F.filter(
+            F.flatten(F.transform(pieces, tokens)), lambda t: F.element_at("names", t).isNotNull())))
     has_any = F.col("written").isNotNull()
 
     def columns(body: Column, n: Column) -> list[Column]:
