@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, langid, lm, mixing, neighbours, pagediff, sharding, simhash, surrogates
+from tidemark.llm import (
+    chat, decontam, langid, lm, mixing, neighbours, pagediff, runs, sharding, simhash, surrogates, urlcascade, variants,
+)
 from tidemark.llm.common import in_fold, ship, table
 
 SURROGATE_KEY = "replace this key in production"
@@ -74,6 +76,64 @@ def surrogate_texts(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.surrogated(docs, SURROGATE_KEY)
 
 
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    words = variants.word_counts(table(spark, folder, "documents"), misspell=97)
+    return variants.grouped_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    found = urlcascade.judged(table(spark, folder, "pages").select("page_id", "url"), rules)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def periodic_text(doc_id: Column, text: Column) -> Column:
+    """One text in ten, by the CRC-32 of the id, with its end made periodic; the others as they are.
+
+    With h the CRC-32, g = h div 10 and n words, each word i from a = g % n on becomes word a + (i - a) % p, where
+    p = 1 + (n - a) div (3 + g % 8).
+    """
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    repeated = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """Number, most periodic run and digests of ``runs`` and ``collapsed``."""
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    top = F.reduce("runs", none, lambda best, run: F.when(
+        best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.floor(F.lit(1000) * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, folder, "documents").select("doc_id", periodic_text(F.col("doc_id"), F.col("text")).alias("text"))
+    return run_digests(runs.with_runs(docs))
+
+
 QUERIES = {
     "op1_projected_neighbours": nearest_neighbours,
     "op2_page_differencing": page_text,
@@ -85,4 +145,7 @@ QUERIES = {
     "op8_string_tiling": benchmark_leaks,
     "op9_ball_simhash": near_duplicates,
     "op10_surrogates": surrogate_texts,
+    "op11_spelling_variants": spelling_variants,
+    "op12_url_cascade": url_verdicts,
+    "op13_periodic_runs": periodic_runs,
 }
