@@ -87,14 +87,17 @@ texts AS (
     lambda i: words[(CASE WHEN i < a THEN i ELSE a + (i - a) % p END) + 1]) END AS words
   FROM placed),
 spots AS (SELECT row_no, n, unnest(range(0, n)) AS i, unnest(words) AS w FROM texts),
+fours AS (  -- a run has at least 16 words in a row that come again one period later, so four in a row do
+  SELECT row_no, n, i, concat_ws(' ', w, lead(w, 1) OVER nearby, lead(w, 2) OVER nearby, lead(w, 3) OVER nearby) AS w
+  FROM spots WINDOW nearby AS (PARTITION BY row_no ORDER BY i) QUALIFY i + 4 <= n),
 equal AS (
   SELECT x.row_no, x.i, y.i - x.i AS q
-  FROM spots x JOIN spots y ON x.row_no = y.row_no AND x.w = y.w AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+  FROM fours x JOIN fours y ON x.row_no = y.row_no AND x.w = y.w AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
 islands AS (
   SELECT row_no, q, i, i - row_number() OVER (PARTITION BY row_no, q ORDER BY i) AS island FROM equal),
 stretches AS (
-  SELECT row_no, q, min(i) AS start, count(*) + q AS length FROM islands
-  GROUP BY row_no, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+  SELECT row_no, q, min(i) AS start, count(*) + 3 + q AS length FROM islands
+  GROUP BY row_no, q, island HAVING count(*) + 3 + q >= greatest(24, 3 * q)),
 runs AS (SELECT row_no, start, length, min(q) AS period FROM stretches GROUP BY row_no, start, length),
 lines AS (
   SELECT row_no, count(*) AS n_runs,

@@ -310,7 +310,7 @@ def runs_of(text: Column, least: int = 24, times: int = 3) -> Column:
             found = find_runs(words, least, times)
             runs.append([{"start": s, "length": e - s, "period": q} for s, e, q in found])
             kept.append(collapsed(words, found).decode())
-        return pd.DataFrame({"runs": runs, "collapsed": kept})
+        return pd.DataFrame({"runs": runs, "collapsed": pd.Series(kept, dtype=object)})
 
     return of(text)
 

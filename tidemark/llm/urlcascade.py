@@ -119,18 +119,19 @@ class Cascade:
         return listed
 
 
-def cascade(listed: DataFrame, universe: DataFrame, most_bits: int = MOST_BITS, first_seed: int = 0) -> Cascade:
+def cascade(
+    listed: DataFrame, universe: DataFrame, keys: int, most_bits: int = MOST_BITS, first_seed: int = 0,
+) -> Cascade:
     """The cascade of the distinct ``listed`` keys against all other keys of ``universe`` (columns ``key``).
 
-    ``universe`` may repeat keys; only those that pass the first filter are shuffled. The first filter lets through
+    ``universe`` may repeat keys and has about ``keys`` distinct ones; only those that pass the first filter are shuffled. The first filter lets through
     some 0.7 wrong keys per listed one, the others half of what they meet, which makes the sum smallest.
     """
     inside = cut(listed.select("key").distinct())
     n = inside.count()
     if not n:
         return Cascade(())
-    others = max(1, universe.agg(F.approx_count_distinct("key")).first()[0])
-    error = min(0.5, max(2.0**-40, n * math.sqrt(0.5) / others))
+    error = min(0.5, max(2.0**-40, n * math.sqrt(0.5) / max(1, keys)))
     levels = [filter_of(inside, n, error, first_seed, most_bits)]
     passing = universe.where(levels[0].holds(F.col("key"))).select("key").distinct()
     outside = cut(passing.join(inside, "key", "left_anti"))
@@ -177,8 +178,9 @@ def judged(
     blocked = listed.where(F.col("verdict") == BLOCK).select("key")
     allowed = listed.where(F.col("verdict") == ALLOW).select("key").join(blocked, "key", "left_anti")
     everything = universe.union(listed.select("key"))
-    to_block = cascade(blocked, everything, most_bits)
-    to_allow = cascade(allowed, everything, most_bits, first_seed=MOST_LEVELS)
+    size = everything.agg(F.approx_count_distinct("key")).first()[0]
+    to_block = cascade(blocked, everything, size, most_bits)
+    to_allow = cascade(allowed, everything, size, most_bits, first_seed=MOST_LEVELS)
 
     verdicts = F.transform(F.col(keys), lambda key: F.struct(
         key.alias("key"),

@@ -18,7 +18,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +61,7 @@ def word_counts(
     def count(batches):
         held: Counter = Counter()
         for batch in batches:
-            for doc, body in zip(batch["id"], batch["body"], strict=True):
+            for doc, body in zip(batch.column("id").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 if body is None:
                     continue
                 base = zlib.crc32(f"{doc}:".encode())
@@ -79,20 +78,22 @@ def word_counts(
                                     continue
                         held[run] += n
                 if len(held) > HELD:
-                    yield _frame(held)
+                    yield _batch(held)
                     held.clear()
-        yield _frame(held)
+        if held:
+            yield _batch(held)
 
     bodies = docs.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text).alias("body"))
     return (
-        bodies.mapInPandas(count, "word string, n long")
+        bodies.mapInArrow(count, "word string, n long")
         .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
     )
 
 
-def _frame(held: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"word": [w.decode("latin-1") for w in held], "n": list(held.values())})
+def _batch(held: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "word": pa.array([w.decode("latin-1") for w in held], pa.string()), "n": pa.array(held.values(), pa.int64())})
 
 
 def _dealt(rows: DataFrame, windows: Column) -> DataFrame:
