@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import runs, urlcascade, variants
 from tidemark.llm.common import ship
 from tidemark.llm.oracle import ORACLE
-from tidemark.llm.queries import QUERIES, periodic_text
+from tidemark.llm.queries import QUERIES, periodic_texts
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -128,7 +128,7 @@ def test_registered_runs_against_plain_code(spark, folder):
 
 def test_periodic_text_of_odd_rows(make):
     rows = make([(None, "a b c d"), (3, None), (None, ""), (None, None)], "doc_id long, text string")
-    got = [r[0] for r in rows.select(periodic_text(F.col("doc_id"), F.col("text"))).collect()]
+    got = [r.text for r in periodic_texts(rows).collect()]
     assert got == ["a b a b", None, "", None]  # the empty text's CRC-32 is 0
 
 

@@ -96,20 +96,22 @@ def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
-def periodic_text(doc_id: Column, text: Column) -> Column:
-    """One text in ten, by the CRC-32 of the id, with its end made periodic; the others as they are.
+def periodic_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), one text in ten, by the CRC-32 of the id, with its end made periodic; the others as they are.
 
     With h the CRC-32, g = h div 10 and n words, each word i from a = g % n on becomes word a + (i - a) % p, where
-    p = 1 + (n - a) div (3 + g % 8).
+    p = 1 + (n - a) div (3 + g % 8). Words are a column of their own, so that they are split once a text.
     """
-    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
-    g = F.floor(h / 10)
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(words)
-    a = (g % n).cast("int")
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
-    repeated = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, a, p = F.size("words"), F.col("a"), F.col("p")
+    split = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    begun = split.select("*", F.when(n > 0, F.col("g") % n).cast("int").alias("a"))
+    step = F.when(n > 0, F.lit(1) + F.floor((n - a) / (F.lit(3) + F.col("g") % 8))).cast("int")
+    placed = begun.select("*", step.alias("p"))
+    repeated = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", a + (i - a) % p)))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def run_digests(found: DataFrame) -> DataFrame:
@@ -130,8 +132,7 @@ def run_digests(found: DataFrame) -> DataFrame:
 
 def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
-    docs = table(spark, folder, "documents").select("doc_id", periodic_text(F.col("doc_id"), F.col("text")).alias("text"))
-    return run_digests(runs.with_runs(docs))
+    return run_digests(runs.with_runs(periodic_texts(table(spark, folder, "documents"))))
 
 
 QUERIES = {
