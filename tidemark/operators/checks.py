@@ -21,12 +21,16 @@ def null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns)))
 
 
-def key_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows, duplicated keys and rows with a NULL in the key: one row, one pass over the key columns."""
+def key_report(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows, duplicated keys and rows with a NULL in the key: one row, one pass over the key columns.
+
+    ``by`` names columns that follow from the key; there is one row for each of their values then.
+    """
     any_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
     return (
-        df.groupBy(*key)
+        df.groupBy(*by, *key)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*by)
         .agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
             F.count_if((F.col("_n") > 1) & ~any_null).alias("n_duplicate_keys"),

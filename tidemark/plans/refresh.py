@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.labels import newest_order_labels
 from tidemark.operators.latest import sales_fact
+from tidemark.operators.parts import KeyRanges
+from tidemark.operators.pit_join import RANGE, pit_join
 from tidemark.operators.scd2 import scd2_ranges, with_current_flag
 from tidemark.operators.upsert import append_missing, upsert
 from tidemark.plans import messages as m
@@ -43,8 +46,11 @@ def append_rows(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int
     """The calendar grows by the days it lacks. It has one row per day, so writing it anew is cheap."""
     target = store.table(entity.target)
     before = target.count()
-    missing = append_missing(store.table(entity.history_table), target, entity.key)
-    return store.publish(entity.target, target.unionByName(missing), entity.target_key) - before
+    up_to = store.last_load(entity)
+    of_history = bool(store.included(entity.target)) or not before
+    missing = append_missing(store.loads(entity, up_to), target, entity.key)
+    return store.publish(
+        entity.target, target.unionByName(missing), entity.target_key, includes=up_to if of_history else 0) - before
 
 
 def upsert_labels(store: Store, entity: Entity, as_of: dt.date, full: bool) -> int:
@@ -58,19 +64,36 @@ def upsert_labels(store: Store, entity: Entity, as_of: dt.date, full: bool) -> i
     of_history = bool(store.included(entity.target)) or store.table(entity.target).isEmpty()
     included = 0 if full else store.included(entity.target)
     newest = newest_order_labels(store.loads(entity, up_to, after=included))
+    ranges = line_ranges(store)
+    if included and store.ranges(entity.target):
+        only = parts_of_loads(store, entity, up_to, included, ranges)
+        merged = upsert(store.parts_of(entity.target, only), newest, entity.key, newer=TS)
+        return store.publish(
+            entity.target, merged, entity.target_key, bucket_by=entity.key, includes=up_to, ranges=ranges, only=only)
     target = store.table(entity.target)
     if included:
         merged = upsert(target, newest, entity.key, newer=TS)
-        return store.publish(entity.target, merged, entity.target_key, bucket_by=entity.key, includes=up_to)
+        return store.publish(
+            entity.target, merged, entity.target_key, bucket_by=entity.key, includes=up_to, ranges=ranges)
     merged = upsert(target, newest, entity.key, hit="_hit")
     written = Observation()
     store.publish(
         entity.target, merged, entity.target_key, bucket_by=entity.key, observation=written, observed=F.col("_hit"),
-        includes=up_to if of_history else 0,
+        includes=up_to if of_history else 0, ranges=ranges,
     )
     return written.get["n"]
 
 
+def line_ranges(store: Store) -> KeyRanges:
+    """How the tables with one row per order line are cut: by the line keys the sales history began with."""
+    return store.shared_ranges(SALES.key, store.table(SALES.history_table).select(SALES.key))
+
+
+def parts_of_loads(store: Store, entity: Entity, up_to: int, after: int, ranges: KeyRanges) -> list[int]:
+    """The parts that lines of some loads belong to; only the loads' keys are read."""
+    return [r[0] for r in store.loads(entity, up_to, after=after).select(ranges.part()).distinct().collect()]
+
+
 REFRESH: Mapping[str, Callable[[Store, Entity, dt.date, bool], int]] = {
     SCD2: refresh_ranges,
     APPEND: append_rows,
@@ -104,17 +127,24 @@ def refresh_dim(store: Store, audit: AuditLog, name: str | None, as_of: dt.date,
 def refresh_fact(store: Store, audit: AuditLog, full: bool = False) -> str:
     """Brings the fact to the newest version of every line; returns the status.
 
-    Only loads the fact does not include are read, reduced to their newest lines and merged into it: a join without a
-    shuffle of the fact, which is bucketed by line key. ``full`` rebuilds it from the whole history.
+    Only loads the fact does not include are read, reduced to their newest lines and merged into the parts of the fact
+    that they touch: a join without a shuffle of the fact, which is bucketed by line key. The files of all other parts
+    stay as they are. ``full`` rebuilds the fact from the whole history.
     """
     begin = audit.started(m.REFRESH_FACT, m.EXECUTION_STARTED.format(procedure=m.REFRESH_FACT))
     try:
         up_to = store.last_load(SALES)
         included = 0 if full else store.included(SALES.target)
         fact = sales_fact(store.loads(SALES, up_to, after=included))
+        ranges, only = line_ranges(store), None
         if included:
-            fact = upsert(store.table(SALES.target), fact, SALES.key, newer=TS)
-        rows = store.publish(SALES.target, fact, SALES.target_key, bucket_by=SALES.key, includes=up_to)
+            target = store.table(SALES.target)
+            if store.ranges(SALES.target):
+                only = parts_of_loads(store, SALES, up_to, included, ranges)
+                target = store.parts_of(SALES.target, only)
+            fact = upsert(target, fact, SALES.key, newer=TS)
+        rows = store.publish(
+            SALES.target, fact, SALES.target_key, bucket_by=SALES.key, includes=up_to, ranges=ranges, only=only)
         audit.add(m.REFRESH_FACT, begin, OK, m.PROCEDURE_OK, rows)
         return OK
     except Exception as error:  # isolated like every stage
@@ -139,15 +169,22 @@ def refresh_changed(
     return dict(zip(targets, together(audit, refresh, targets)))
 
 
-def live_mart(store: Store) -> DataFrame:
-    """The mart as the tables stand now, not stored."""
+def live_mart(store: Store, lines: DataFrame | None = None, parts: Sequence[int] = ()) -> DataFrame:
+    """The mart as the tables stand now, not stored: all of it, or that of some line keys, which lie in those parts."""
+
+    def of_lines(entity: Entity) -> DataFrame:
+        if lines is None:
+            return store.table(entity.target)
+        rows = store.parts_of(entity.target, parts) if store.ranges(entity.target) else store.table(entity.target)
+        return rows.join(lines, entity.key, "left_semi")
+
     return sales_mart(
-        fact=store.table(SALES.target),
+        fact=of_lines(SALES),
         customer=store.table(CUSTOMER.target),
         product=store.table(PRODUCT.target),
         reseller=store.table(RESELLER.target),
         calendar=store.table(DATE.target),
-        orders=store.table(SALES_ORDER.target),
+        orders=of_lines(SALES_ORDER),
         territory=store.table(TERRITORY.target),
     )
 
@@ -164,15 +201,70 @@ def register_views(store: Store) -> None:
     store.watchers.append(define)
 
 
-def refresh_mart(store: Store, audit: AuditLog) -> None:
-    """Stores the mart anew; a failure is recorded and raised.
+SOURCES = (SALES, SALES_ORDER, DATE, CUSTOMER, PRODUCT, RESELLER, TERRITORY)
+
+
+def changed_lines(store: Store, before: Mapping[str, int], now: Mapping[str, int]) -> DataFrame:
+    """Keys of the lines whose mart rows may differ between two states of the mart's sources, with repeats.
+
+    These are the lines that came with later loads of sales or labels, those of days that came into the calendar, and
+    those whose order date lies in the range of a version that came into one of their dimensions. A new version takes
+    its range from the version that held it before, so no other line changes. All changes are looked up in one pass
+    over the fact.
+    """
+    changed = [e for e in SOURCES if now[e.target] > before[e.target]]
+
+    def new(entity: Entity) -> DataFrame:
+        return store.loads(entity, now[entity.target], after=before[entity.target])
+
+    lines = [new(e).select(SALES.key) for e in changed if e in (SALES, SALES_ORDER)]
+    keys = [SALES.key, "orderdatekey", *(e.key for e in changed if e.kind == SCD2)]
+    fact = store.table(SALES.target).select(*keys)
+    marks = []
+    for entity in changed:
+        mark = f"_new_{entity.target}"
+        if entity.kind == SCD2:
+            stamps = new(entity).select(entity.key, TS)
+            versions = store.table(entity.target).join(stamps, [entity.key, TS], "left_semi")
+            fact = pit_join(
+                fact, versions.select(entity.key, *RANGE, F.lit(True).alias(mark)), entity.key, "orderdatekey", "left")
+        elif entity is DATE:
+            days = new(entity).select(F.col("date").alias("_day"), F.lit(True).alias(mark)).distinct()
+            fact = fact.join(days, F.col("orderdatekey").cast("timestamp_ntz") == F.col("_day"), "left").drop("_day")
+        else:
+            continue
+        marks.append(F.col(mark).isNotNull())
+    if marks:
+        lines.append(fact.where(reduce(lambda a, b: a | b, marks)).select(SALES.key))
+    nothing = store.table(SALES.target).select(SALES.key).where(F.lit(False))
+    return reduce(DataFrame.unionByName, lines, nothing)
+
+
+def refresh_mart(store: Store, audit: AuditLog, full: bool = False) -> None:
+    """Brings the stored mart up to date; a failure is recorded and raised.
+
+    The mart notes which loads of its sources it was derived from. If it is known, for all of them, what has come
+    since, only the lines touched by that are joined anew, and only the parts of the mart they lie in are replaced.
+    Otherwise, or with ``full``, the whole mart is. The result is the same.
 
     Rows are sorted by date and region within each file, so that filters on them skip row groups.
     """
     start = audit.now()
     try:
-        mart = live_mart(store).sortWithinPartitions("orderdatekey", "region_territory")
-        store.publish(MART_TABLE, mart, [SALES.key])
+        now = {e.target: store.included(e.target) for e in SOURCES}
+        before = store.sources(MART_TABLE)
+        ranges = store.ranges(MART_TABLE)
+        known = all(before.get(target, 0) and now[target] >= before[target] for target in now)
+        layout = {"sort_by": ("orderdatekey", "region_territory"), "sources": now if all(now.values()) else None}
+        if full or not known or ranges is None:
+            ranges = store.shared_ranges(SALES.key, store.table(SALES.target).select(SALES.key))
+            store.publish(MART_TABLE, live_mart(store), [SALES.key], ranges=ranges, **layout)
+        else:
+            with store.kept_aside(changed_lines(store, before, now).distinct()) as touched:
+                only = [r[0] for r in touched.select(ranges.part()).distinct().collect()]
+                kept = store.parts_of(MART_TABLE, only).join(touched, SALES.key, "left_anti")
+                mart = kept.unionByName(live_mart(store, touched, only))
+                store.publish(MART_TABLE, mart, [SALES.key], ranges=ranges, only=only, **layout)
         audit.add(m.REFRESH_MART, start, OK, m.MART_OK)
     except Exception as error:
         audit.add(m.REFRESH_MART, start, ERROR, m.MART_FAILED.format(error=error))

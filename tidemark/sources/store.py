@@ -13,19 +13,22 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.checks import key_report
+from tidemark.operators.parts import PART, KeyRanges
 from tidemark.schemas import AUDIT_SCHEMA, AUDIT_TABLE, MART_SCHEMA, MART_TABLE, TS, UPLOAD_ORDER, Entity
 from tidemark.session import shared_dir
 
 
 #: Spark's limit.
 MOST_BUCKETS = 100_000
+PARTITIONS_AT_ONCE = 200
 
 
 class KeyCheckFailed(Exception):
@@ -36,19 +39,28 @@ def _columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
+def _sound(name: str, key: Sequence[str], reports: Sequence[Row]) -> Sequence[Row]:
+    twice, null = (sum(r[c] for r in reports) for c in ("n_duplicate_keys", "n_null_keys"))
+    if twice or null:
+        raise KeyCheckFailed(f"{name}: {twice} duplicate and {null} NULL keys in {list(key)}")
+    return reports
+
+
 class Store:
     """``buckets`` is noted when a bucketed table is first published, by default from the shuffle partitions of that
     session, and kept from then on. ``keep`` versions of a published table before the current one stay for readers
-    that have begun."""
+    that have begun. A table in parts has about ``buckets`` times ``rows_per_file`` rows in each when it is begun."""
 
     def __init__(
-        self, spark: SparkSession, database: str, folder: str | None = None, buckets: int | None = None, keep: int = 1
+        self, spark: SparkSession, database: str, folder: str | None = None, buckets: int | None = None, keep: int = 1,
+        rows_per_file: int = 1_000_000,
     ):
         self.spark = spark
         self.database = database
         self.folder = f"{(folder or shared_dir(spark)).rstrip('/')}/{database}"
         self.buckets = buckets or min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.keep = keep
+        self.rows_per_file = rows_per_file
         self.watchers: list[Callable[[], None]] = []
         if not 0 < self.buckets <= MOST_BUCKETS:
             raise ValueError(f"between 1 and {MOST_BUCKETS} buckets, not {buckets}")
@@ -122,6 +134,40 @@ class Store:
         """The last load a published table includes; 0 if it is empty or was made in another way."""
         return self._current(name)[1].get("includes", 0)
 
+    def sources(self, name: str) -> dict[str, int]:
+        """For a table derived from others, the last load of each that it was derived from; empty if not noted."""
+        return self._current(name)[1].get("sources") or {}
+
+    def ranges(self, name: str) -> KeyRanges | None:
+        """How a published table is cut into parts; None if it is not."""
+        ranges = self._current(name)[1].get("ranges")
+        return ranges and KeyRanges(**ranges)
+
+    def shared_ranges(self, key: str, keys: DataFrame) -> KeyRanges:
+        """The ranges of a key that all tables in parts share, so that a part of one meets the same part of another.
+
+        They are made once, from the first ``keys`` there are, and kept from then on.
+        """
+        name = f"ranges_of_{key}"
+        _, note = self._current(name)
+        if not note:
+            low, high, rows = keys.agg(F.min(key), F.max(key), F.count(key)).first()
+            made = KeyRanges.over(key, low, high, rows, self.buckets * self.rows_per_file)
+            if not rows:
+                return made
+            try:
+                self._note(name, 1, {"key": key, "base": made.base, "size": made.size})
+            except FileExistsError:  # tables are refreshed side by side, and one of them was faster
+                pass
+            _, note = self._current(name)
+        return KeyRanges(**note)
+
+    def parts_of(self, name: str, only: Sequence[int]) -> DataFrame:
+        """The rows of some parts of a table; files of others are not read."""
+        note = self._current(name)[1]
+        rows = self.table(note["snapshot"])
+        return rows.where(F.col(PART).isin(list(only)) if only else F.lit(False)).select(*note["visible"])
+
     def publish(
         self,
         name: str,
@@ -131,44 +177,98 @@ class Store:
         observation: Observation | None = None,
         observed: F.Column | None = None,
         includes: int = 0,
+        ranges: KeyRanges | None = None,
+        only: Sequence[int] | None = None,
+        sort_by: Sequence[str] = (),
+        sources: dict[str, int] | None = None,
     ) -> int:
         """Replaces a table's content, once the new content's keys are checked; returns its rows.
 
         ``bucket_by`` lays the table out by that column, so that later joins on it need no shuffle; the number of
         buckets is the table's own. ``observed`` is counted into ``observation`` while writing, and its columns beyond
-        the table's are not stored. ``includes`` is noted as the last load the content includes. If another writer has
-        replaced the content meanwhile, this one fails.
+        the table's are not stored. ``includes`` is noted as the last load the content includes, ``sources`` as the
+        last loads of the tables it was derived from. If another writer has replaced the content meanwhile, this one
+        fails.
+
+        ``ranges`` cuts the table into parts by its key, a partition each. With ``only``, ``df`` replaces those parts
+        alone: the files of all others stay where they are and belong to the new version as well. A key's part follows
+        from the key, so that keys need checking in the written parts only. ``sort_by`` orders rows in files.
         """
         columns = self.table(name).columns
         version, replaced = self._current(name)
+        if only is not None and (ranges is None or replaced.get("ranges") != vars(ranges)):
+            raise ValueError(f"{name} is not cut into these parts")
         snapshot = f"{name}__{uuid.uuid4().hex}"
         if observation is not None:
             df = df.observe(observation, F.count(observed).alias("n"))
         buckets = (replaced.get("buckets") or self.buckets) if bucket_by else None
-        writer = df.select(*columns).write.option("path", f"{self.folder}/{snapshot}")
+        df = df.select(*columns, *([ranges.part()] if ranges else []))
+        if ranges and not bucket_by:  # files of a good size for each part, large parts spread over several tasks
+            df = df.hint("rebalance", F.col(PART))
+        if sort_by:
+            df = df.sortWithinPartitions(*([PART] if ranges else []), *sort_by)
+        writer = df.write.option("path", f"{self.folder}/{snapshot}")
+        if ranges:
+            writer = writer.partitionBy(PART)
         if bucket_by:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
         try:
             writer.saveAsTable(self._name(snapshot))
             written = self.table(snapshot)
-            rows = self._check(name, written, key)
             note = {"snapshot": snapshot, "columns": _columns(written.schema), "visible": columns,
                     "includes": includes, "bucket_by": bucket_by, "buckets": buckets}
+            if sources:
+                note["sources"] = sources
+            if ranges:
+                parts = self._check_parts(name, written, key)
+                if only is not None and not parts.keys() <= set(only):
+                    raise ValueError(f"{name}: rows outside the parts to be replaced")
+                stay = {} if only is None else {k: p for k, p in replaced["parts"].items() if int(k) not in set(only)}
+                new = {str(k): [f"{self.folder}/{snapshot}/{PART}={k}", n] for k, n in parts.items()}
+                note |= {"ranges": vars(ranges), "parts": stay | new}
+                rows = sum(n for _, n in note["parts"].values())
+            else:
+                rows = self._check(name, written, key)
             self._note(name, version + 1, note)
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(snapshot)}")
             self._delete(f"{self.folder}/{snapshot}")
             raise
         self._show(name, note)
-        for old, other in self._notes(name).items():
-            if old < version + 1 - self.keep:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(other['snapshot'])}")
-                self._delete(f"{self.folder}/{other['snapshot']}")
-                self._delete(f"{self.folder}/_notes/{name}/{old:012d}.json")
+        self._forget(name, version + 1 - self.keep)
         for watch in self.watchers:
             watch()
         return rows
 
+    def _forget(self, name: str, before: int) -> None:
+        """Drops versions before that one, and the files that no later version shares."""
+        notes = self._notes(name)
+        needed = {f for v, note in notes.items() if v >= before for f in self._folders(note)}
+        for old, other in notes.items():
+            if old >= before:
+                continue
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(other['snapshot'])}")
+            unneeded = set(self._folders(other)) - needed
+            roots = {f"{self.folder}/{other['snapshot']}", *(f.rpartition("/")[0] for f in unneeded if f"/{PART}=" in f)}
+            for folder in unneeded | {r for r in roots if not any(f.startswith(f"{r}/") for f in needed)}:
+                self._delete(folder)
+            self._delete(f"{self.folder}/_notes/{name}/{old:012d}.json")
+
+    def _folders(self, note: dict) -> list[str]:
+        if "parts" in note:
+            return [folder for folder, _ in note["parts"].values()]
+        return [f"{self.folder}/{note['snapshot']}"]
+
+    @contextmanager
+    def kept_aside(self, df: DataFrame) -> Iterator[DataFrame]:
+        """The rows as written to a folder of their own while they are needed, so that they are computed once."""
+        folder = f"{self.folder}/_aside_{uuid.uuid4().hex}"
+        try:
+            df.write.parquet(folder)
+            yield self.spark.read.schema(df.schema).parquet(folder)
+        finally:
+            self._delete(folder)
+
     def append_rows(self, name: str, rows: Sequence[tuple], schema: T.StructType) -> None:
         """Appends a few rows made on the driver, as one file."""
         if rows:
@@ -189,9 +289,15 @@ class Store:
         laid_out = (
             f"CLUSTERED BY ({note['bucket_by']}) SORTED BY ({note['bucket_by']}) INTO {note['buckets']} BUCKETS "
             if note["bucket_by"] else "")
+        cut = f"PARTITIONED BY ({PART}) " if note.get("ranges") else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._name(note['snapshot'])} ({note['columns']}) USING parquet {laid_out}"
+            f"CREATE TABLE IF NOT EXISTS {self._name(note['snapshot'])} ({note['columns']}) USING parquet {cut}{laid_out}"
             f"LOCATION '{self.folder}/{note['snapshot']}'")
+        parts = [f"PARTITION ({PART} = {k}) LOCATION '{folder}'" for k, (folder, _) in note.get("parts", {}).items()]
+        for k in range(0, len(parts), PARTITIONS_AT_ONCE):
+            self.spark.sql(
+                f"ALTER TABLE {self._name(note['snapshot'])} ADD IF NOT EXISTS "
+                + " ".join(parts[k : k + PARTITIONS_AT_ONCE]))
         visible = ", ".join(f"`{c}`" for c in note["visible"])
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT {visible} FROM {self._name(note['snapshot'])}")
@@ -239,12 +345,11 @@ class Store:
         files.delete(path, True)
 
     def _check(self, name: str, written: DataFrame, key: Sequence[str]) -> int:
-        report = key_report(written, key).first()
-        if report["n_duplicate_keys"] or report["n_null_keys"]:
-            raise KeyCheckFailed(
-                f"{name}: {report['n_duplicate_keys']} duplicate and {report['n_null_keys']} NULL keys in {list(key)}"
-            )
-        return report["n_rows"]
+        return _sound(name, key, key_report(written, key).collect())[0]["n_rows"]
+
+    def _check_parts(self, name: str, written: DataFrame, key: Sequence[str]) -> dict[int, int]:
+        """Rows per part; there is a bounded number of parts."""
+        return {r[PART]: r["n_rows"] for r in _sound(name, key, key_report(written, key, by=[PART]).collect())}
 
     def _check_new(self, entity: Entity, written: DataFrame) -> None:
         """No key of the batch may be in the history. Only rows with the batch's stamps can be, so only those are
