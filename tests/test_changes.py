@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from tidemark.operators.changes import counts_as_json, new_or_changed, tables_to_refresh
 
 SCHEMA = "k bigint, a string, c string, update_ts timestamp_ntz"
@@ -89,3 +91,24 @@ def test_threshold_and_json(make):
                   "table_name string, rows_changed bigint")
     assert [r.table_name for r in tables_to_refresh(counts).collect()] == ["dim_product_data"]
     assert counts_as_json(counts).first()[0] == '{"dim_date_data":0,"dim_product_data":2,"fct_sales_data":1}'
+
+
+def test_return_to_an_old_value_is_captured_against_the_latest(make):
+    history = make([(1, "A", "x", at(1)), (1, "B", "x", at(2)), (2, "A", None, at(1)), (2, "A", "y", at(0)),
+                    (3, "C", "z", at(5)), (3, "D", "z", at(4)), (None, "A", "x", at(1))], SCHEMA)
+    staging = make([(1, "A", "x", at(9)), (1, "B", "x", at(9)), (2, "A", "y", at(9)), (2, "A", None, at(8)),
+                    (3, "C", "z", at(9)), (4, "E", "z", at(9)), (None, "A", "x", at(9))], SCHEMA)
+    for rows_staged in (None, 7):
+        options = {"key": "k", "staged_rows": rows_staged, "against": "latest"}
+        got = rows(new_or_changed(staging, history, **options))
+        assert got == [(1, "A", "x", 9), (2, "A", "y", 9), (2, "A", None, 8), (4, "E", "z", 9), (None, "A", "x", 9)]
+        got = rows(new_or_changed(staging, history, null_defaults={"c": "", "k": 0}, **options))
+        assert got == [(1, "A", "x", 9), (2, "A", "y", 9), (4, "E", "z", 9)]
+        assert rows(new_or_changed(staging, history.limit(0), **options)) == rows(staging)
+
+
+def test_against_needs_a_key(make):
+    nothing = make([], SCHEMA)
+    for options in ({"against": "latest"}, {"against": "latest", "key": "k", "compare": ["a"]}, {"against": "newest"}):
+        with pytest.raises(ValueError):
+            new_or_changed(nothing, nothing, **options)

@@ -55,10 +55,23 @@ def test_equals_brute_force(make, how, overlapping, dense_versions):
     assert joined(make, facts, dim, how, dense_versions=dense_versions) == brute_force(facts, dim, how)
 
 
-def test_large_list_of_dense_keys_is_not_broadcast(make, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.bounds.SMALL_KEY_LIST", 0)
+@pytest.mark.parametrize("most", [0, 1, 3])
+def test_dense_keys_beyond_the_list_are_joined_plainly(make, most):
     facts, dim = sample(4, False)
-    assert joined(make, facts, dim, "inner", dense_versions=2) == brute_force(facts, dim, "inner")
+    assert joined(make, facts, dim, "inner", dense_versions=2, most_dense=most) == brute_force(facts, dim, "inner")
+
+
+def test_building_the_plan_starts_no_job(make, spark):
+    facts, dim = sample(4, False)
+    fact, versions = make(facts, FACT), make(dim, DIM)
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        built = pit_join(fact, versions, "k", "d")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+        built.count()
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_one_version_matches_among_many_of_a_day(make):

@@ -32,7 +32,7 @@ def large(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-FULL_RUNS = ("audit_log", "stored_mart", "stored_reseller_dim")
+FULL_RUNS = ("audit_log", "incremental_mart", "stored_mart", "stored_reseller_dim")
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(FULL_RUNS)))
@@ -76,6 +76,12 @@ def test_small_batch_thins_the_history_before_its_shuffle(t, large):
     assert "BroadcastHashJoin" in text and "LeftSemi" in text
 
 
+def test_the_latest_versions_are_reduced_before_their_shuffle(t, large):
+    labels = i.order_label_history(t)
+    text = plan(new_or_changed(labels, labels, key="salesorderlinekey", against="latest"))
+    assert "LeftAnti" in text and "partial_max(struct(_seen_at" in text
+
+
 def test_append_missing_is_an_anti_join(t):
     days = i.calendar(t)
     assert "LeftAnti" in plan(append_missing(days, days, "datekey"))

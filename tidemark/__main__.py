@@ -16,6 +16,7 @@ from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
+from tidemark.operators.changes import ANY, LATEST
 from tidemark.plans.run import run
 from tidemark.schemas import SHEET_ORDER
 from tidemark.session import configure
@@ -31,6 +32,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
     parser.add_argument("--folder", help="shared folder for the tables")
     parser.add_argument("--load-ts", type=dt.datetime.fromisoformat, help="stamp of this load, default now (UTC)")
     parser.add_argument("--min-changed", type=int, default=2)
+    parser.add_argument("--against", choices=(ANY, LATEST), default=ANY, help="versions a staged row is compared with")
     parser.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="reader option")
     options = parser.parse_args(arguments)
 
@@ -42,7 +44,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
         for e in SHEET_ORDER
     }
     store = Store(spark, options.database, options.folder).create()
-    result = run(store, sheets, options.load_ts or utc_now(), min_changed=options.min_changed)
+    result = run(store, sheets, options.load_ts or utc_now(), min_changed=options.min_changed, against=options.against)
     print(json.dumps(asdict(result)))
     return int(ERROR in (result.status, result.mart_status))
 

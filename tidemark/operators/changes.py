@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.bounds import is_small_key_list
 
+ANY, LATEST = "any", "latest"
+
 
 def new_or_changed(
     staging: DataFrame,
@@ -19,6 +21,7 @@ def new_or_changed(
     ts: str = "update_ts",
     key: str | None = None,
     staged_rows: int | None = None,
+    against: str = ANY,
 ) -> DataFrame:
     """Staged rows whose compared columns equal those of no history row, each distinct row once.
 
@@ -26,6 +29,10 @@ def new_or_changed(
     ``null_defaults`` names columns where NULL stands for a value instead. Any earlier version counts, not only
     the newest: a return to old values is not captured.
 
+    With ``against="latest"`` only the version of each ``key`` with the highest stamp counts, so that a return to
+    old values is captured as well. The newest version is the greatest struct of stamp and compared columns, one row
+    per key and map task before the shuffle; of versions with equal stamps the one with the greatest values counts.
+
     Copies are collapsed before the join, so a large group of copies shrinks on the map side. Joining on all
     compared columns also spreads the versions of a hot key over all partitions. On the history's side, rows with a
     NULL are dropped before the shuffle, and others captured by all columns are distinct already; a history compared
@@ -41,12 +48,20 @@ def new_or_changed(
     def comparable(name: str) -> Column:
         return F.coalesce(name, F.lit(defaults[name])) if name in defaults else F.col(name)
 
-    seen = history.select(*(comparable(c).alias(f"_seen_{c}") for c in compare))
-    if set(compare) != set(attributes):
-        seen = seen.distinct()
+    if against not in (ANY, LATEST) or against == LATEST and key not in compare:
+        raise ValueError("against is 'any', or 'latest' with the name of a compared key")
+    names = [f"_seen_{c}" for c in compare]
+    seen = history.select(*(comparable(c).alias(f"_seen_{c}") for c in compare), F.col(ts).alias("_seen_at"))
+    if against == ANY:
+        seen = seen.select(*names)
+        if set(compare) != set(attributes):
+            seen = seen.distinct()
     if key in compare and is_small_key_list(staging, key, staged_rows):
         staged = staging.select(comparable(key).alias("_staged")).distinct()
         seen = seen.join(F.broadcast(staged), F.col(f"_seen_{key}") == F.col("_staged"), "left_semi")
+    if against == LATEST:
+        newest = F.max(F.struct("_seen_at", *names)).alias("_newest")
+        seen = seen.groupBy(F.col(f"_seen_{key}").alias("_newest_of")).agg(newest).select("_newest.*").select(*names)
     equal = reduce(lambda a, b: a & b, (comparable(c) == F.col(f"_seen_{c}") for c in compare))
     batch = staging.groupBy(*attributes).agg(F.max(ts).alias(ts))
     return batch.join(seen, equal, "left_anti").select(*attributes, ts)

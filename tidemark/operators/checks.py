@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.pit_join import RANGE, count_dense_keys, pit_join
+from tidemark.operators.pit_join import RANGE, pit_join
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -60,11 +60,10 @@ def unmatched_facts(
     lines = orders.select(order_key).distinct().withColumn("_in_orders", F.lit(True))
     flagged = flagged.join(lines, order_key, "left")
     names = {"calendar": "_in_calendar", "orders": "_in_orders"}
-    n_dense = count_dense_keys(dims)
     for name, (dim, key) in dims.items():
         names[name] = f"_in_{name}"
         ranges = dim.select(key, *RANGE, F.lit(True).alias(names[name]))
-        flagged = pit_join(flagged, ranges, key, date_col, how="left", n_dense=n_dense[name])
+        flagged = pit_join(flagged, ranges, key, date_col, how="left")
     counts = flagged.agg(*(F.count_if(F.col(flag).isNull()).alias(flag) for flag in names.values()))
     rows = F.array(*(F.struct(F.lit(n).alias("dimension"), F.col(c).alias("n_unmatched")) for n, c in names.items()))
     return counts.select(F.inline(rows))

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounds import is_small_key_list
+from tidemark.operators.bounds import SMALL_KEY_LIST
 
 RANGE = ("valid_from", "valid_to")
 
 # Keys with more versions than this are matched month by month.
 DENSE_VERSIONS = 64
-# Parts into which rows of one key are spread while a list of dense keys too long to broadcast is looked up.
-SALTS = 32
 
 
 def pit_join(
@@ -25,87 +20,52 @@ def pit_join(
     date_col: str,
     how: str = "inner",
     dense_versions: int = DENSE_VERSIONS,
-    n_dense: int | None = None,
+    most_dense: int = SMALL_KEY_LIST,
 ) -> DataFrame:
     """``fact`` plus the attributes of the ``dim`` rows with the same key and ``date_col`` in their closed range.
 
     ``dim`` has the key, ``valid_from``, ``valid_to`` and the attributes to add; these must not share names with
-    ``fact``. ``how`` is ``inner`` or ``left``. No side is hinted as small: Spark broadcasts the dimension if its
-    size allows it, and otherwise splits a hot fact key at run time.
+    ``fact``. ``how`` is ``inner`` or ``left``. The dimension is not hinted as small: Spark broadcasts it if its size
+    allows it, and otherwise splits a hot fact key at run time.
 
     The range is a residual condition of the key join, so each fact is compared with every version of its key.
-    That is fine while keys have few versions, and hopeless for a hot key with thousands. The versions per key are
-    therefore counted first (a narrow aggregate over the dimension). If some keys are dense, their versions are
-    spread over the months they cover and their facts join on key and month: a fact then meets the versions of
-    one month only, and the key's rows spread over many partitions. ``n_dense`` passes that count in, where
-    ``count_dense_keys`` has made it for several dimensions at once.
+    That is fine while keys have few versions, and hopeless for a hot key with thousands. So the versions of dense
+    keys are spread over the months they cover, and their facts join on key and month: a fact then meets the versions
+    of one month only, and the key's rows spread over many partitions.
+
+    Which keys are dense is decided within the plan, and no job runs before it does: a narrow aggregate over the
+    dimension lists them with the months of their first and last change, as hashes. At most ``most_dense`` are listed,
+    those with the most versions, so that the list has a proven size and is broadcast to both sides; any further keys,
+    each with fewer versions, are joined plainly. Two keys with one hash share their months, which are only a way to
+    deal rows: any months do, as long as both sides use the same.
     """
     attributes = [c for c in dim.columns if c != key and c not in RANGE]
     shared = set(attributes) & set(fact.columns)
     if shared:
         raise ValueError(f"rename before joining, columns on both sides: {sorted(shared)}")
 
-    versions = _versions(dim, key)
-    in_range = F.col(date_col).between(F.col("valid_from"), F.col("valid_to"))
-    matches = (F.col(key) == F.col("_dim_key")) & in_range
-
-    columns = fact.columns
-    if n_dense is None:
-        n_dense = count_dense_keys({key: (dim, key)}, dense_versions)[key]
-    if n_dense:
-        dense = _dense_keys(versions, dense_versions)
-        small = is_small_key_list(dense, "_dense_key", n_dense)
-        slots = F.when(F.col("_lo").isNull(), F.array(F.lit(0))).otherwise(
-            F.sequence(_slot(F.col("valid_from")), _slot(F.col("valid_to")))
-        )
-        versions = _with_bounds(versions, "_dim_key", dense, small).withColumn("_dim_slot", F.explode(slots))
-        fact_slot = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_slot(F.col(date_col)))
-        fact = _with_bounds(fact, key, dense, small).select(*columns, fact_slot.alias("_slot"))
-        matches = matches & (F.col("_slot") == F.col("_dim_slot"))
-    return fact.join(versions, matches, how).select(*columns, *attributes)
-
-
-def count_dense_keys(
-    dims: Mapping[str, tuple[DataFrame, str]], dense_versions: int = DENSE_VERSIONS
-) -> dict[str, int]:
-    """For each named dimension and its key, how many keys have more versions than that: one job for all.
-
-    Rows per key, empty ranges included, need the key column only and settle most dimensions. Just for those with
-    such a key, the versions that can match are counted.
-    """
-    many_rows = {
-        name: dim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > dense_versions)
-        for name, (dim, key) in dims.items()
-    }
-    suspects = [name for name, n in _row_counts(many_rows).items() if n]
-    dense = {name: _dense_keys(_versions(*dims[name]), dense_versions) for name in suspects}
-    return dict.fromkeys(dims, 0) | _row_counts(dense)
-
-
-def _row_counts(frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name), "n") for name, df in frames.items()]
-    return {name: n for name, n in reduce(DataFrame.union, counts).collect()} if counts else {}
-
-
-def _versions(dim: DataFrame, key: str) -> DataFrame:
-    """Versions that can match at all, without the empty ranges of days with several versions."""
-    return dim.where(F.col("valid_from") <= F.col("valid_to")).withColumnRenamed(key, "_dim_key")
-
+    # Without the empty ranges of days with several versions, which match nothing.
+    versions = dim.where(F.col("valid_from") <= F.col("valid_to")).withColumnRenamed(key, "_dim_key")
+    dense = _dense_keys(versions, dense_versions, most_dense)
+    plain = F.col("_lo").isNull()
+    slots = F.when(plain, F.array(F.lit(0))).otherwise(
+        F.sequence(_slot(F.col("valid_from")), _slot(F.col("valid_to"))))
+    dealt = _with_bounds(versions, F.col("_dim_key"), dense).withColumn("_dim_slot", F.explode(slots)).drop("_lo", "_hi")
+    fact_slot = F.when(plain, F.lit(0)).otherwise(_slot(F.col(date_col)))
+    # Equal keys of two types have different hashes; what does not fit the dimension's type equals none of its keys.
+    alike = F.col(key).try_cast(versions.schema["_dim_key"].dataType)
+    placed = _with_bounds(fact, alike, dense).select(*fact.columns, fact_slot.alias("_slot"))
+    matches = (
+        (F.col(key) == F.col("_dim_key"))
+        & (F.col("_slot") == F.col("_dim_slot"))
+        & F.col(date_col).between(F.col("valid_from"), F.col("valid_to"))
+    )
+    return placed.join(dealt, matches, how).select(*fact.columns, *attributes)
 
-def _with_bounds(df: DataFrame, key: str, dense: DataFrame, small: bool) -> DataFrame:
-    """Every row with ``_lo`` and ``_hi`` of its key, NULL if that is not dense.
 
-    A long list is not broadcast but listed once per salt: a hot key's rows spread over all salts.
-    """
-    if small:
-        looked_up = df.join(F.broadcast(dense), F.col(key) == F.col("_dense_key"), "left")
-    else:
-        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        salted = dense.withColumn("_dense_salt", F.explode(salts))
-        looked_up = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")).join(
-            salted, (F.col(key) == F.col("_dense_key")) & (F.col("_salt") == F.col("_dense_salt")), "left"
-        )
-    return looked_up.select(*df.columns, "_lo", "_hi")
+def _with_bounds(df: DataFrame, key: Column, dense: DataFrame) -> DataFrame:
+    """Every row with ``_lo`` and ``_hi`` of its key, NULL if that is not dense."""
+    return df.join(F.broadcast(dense), F.xxhash64(key) == F.col("_dense_key"), "left").drop("_dense_key")
 
 
 def _month(date: Column) -> Column:
@@ -121,14 +81,17 @@ def _slot(date: Column) -> Column:
     return F.greatest(F.col("_lo"), F.least(_month(date), F.col("_hi")))
 
 
-def _dense_keys(versions: DataFrame, limit: int) -> DataFrame:
+def _dense_keys(versions: DataFrame, limit: int, most: int) -> DataFrame:
     return (
-        versions.groupBy(F.col("_dim_key").alias("_dense_key"))
+        versions.where(F.col("_dim_key").isNotNull())
+        .groupBy(F.xxhash64("_dim_key").alias("_dense_key"))
         .agg(
             F.count(F.lit(1)).alias("_versions"),
             _month(F.min("valid_to")).alias("_lo"),
             _month(F.max("valid_from")).alias("_hi"),
         )
-        .where((F.col("_versions") > limit) & F.col("_dense_key").isNotNull())
+        .where(F.col("_versions") > limit)
+        .orderBy(F.desc("_versions"), "_dense_key")
+        .limit(most)
         .select("_dense_key", F.col("_lo"), F.greatest("_lo", "_hi").alias("_hi"))
     )

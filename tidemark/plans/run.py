@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from tidemark.operators.changes import ANY
 from tidemark.plans import messages as m
 from tidemark.plans.refresh import refresh_changed, refresh_mart
 from tidemark.plans.upload import upload_src
@@ -35,11 +36,12 @@ def run(
     as_of: dt.date | None = None,
     min_changed: int = 2,
     audit: AuditLog | None = None,
+    against: str = ANY,
 ) -> Run:
     """Loads all sheets, each a DataFrame or a path, its format and perhaps reader options, and brings the warehouse up to date.
 
     A sheet that cannot be staged is recorded, the other sheets are still staged, and nothing is uploaded. A sheet
-    that is not there ends the run. The mart is refreshed in any case, and its status kept apart.
+    that is not there ends the run. ``against`` is that of change capture. The mart is refreshed in any case, and its status kept apart.
     """
     audit = audit or AuditLog(store)
     result = Run()
@@ -48,7 +50,7 @@ def run(
         staged = _stage_sheets(store, audit, sheets, load_ts, result, begin)
         audit.flush()  # a long run can be followed, and what was done is on record should the driver be lost
         if result.status == OK:
-            _upload_and_refresh(store, audit, staged, as_of or load_ts.date(), min_changed, result)
+            _upload_and_refresh(store, audit, staged, as_of or load_ts.date(), min_changed, result, against)
             audit.flush()
         start = audit.now()
         procedure = f"{store.database}.{m.REFRESH_MART}"
@@ -87,10 +89,10 @@ def _stage_sheets(
 
 
 def _upload_and_refresh(
-    store: Store, audit: AuditLog, staged: Mapping[str, int], as_of: dt.date, min_changed: int, result: Run
+    store: Store, audit: AuditLog, staged: Mapping[str, int], as_of: dt.date, min_changed: int, result: Run, against: str
 ) -> None:
     start = audit.now()
-    upload = upload_src(store, audit, staged)
+    upload = upload_src(store, audit, staged, against)
     result.status, result.counts = upload.status, upload.counts
     message = m.UPLOAD_COMPLETED if upload.status == OK else m.UPLOAD_PROCEDURE_FAILED.format(error=m.PHASES_FAILED)
     audit.add(m.UPLOAD, start, upload.status, message)

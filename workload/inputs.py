@@ -225,6 +225,18 @@ def earlier_customers(t: Tables) -> DataFrame:
     )
 
 
+def customer_versions(t: Tables) -> DataFrame:
+    """What two earlier loads had seen: a later one had other balances for every third nation."""
+    later = t.customer.where((F.col("c_acctbal") >= 0) & (F.col("c_nationkey") % 3 == 0)).select(
+        F.col("c_custkey").alias("customerkey"),
+        F.col("c_name").alias("customer"),
+        F.expr("nullif(c_mktsegment, 'BUILDING')").alias("segment"),
+        (F.col("c_acctbal") + 5).alias("balance"),
+        F.lit("2023-06-01 00:00:00").cast("timestamp_ntz").alias(TS),
+    )
+    return earlier_customers(t).unionByName(later)
+
+
 def order_dates(t: Tables) -> DataFrame:
     """One row per order: heavily repeated days, as a staged calendar with copies."""
     return t.orders.select(
@@ -281,3 +293,12 @@ def first_load_sheets(t: Tables) -> dict[str, DataFrame]:
     first["Reseller_data"] = first["Reseller_data"].withColumn("business_type", F.lit("Reseller"))
     first["Sales_data"] = first["Sales_data"].where(F.col("shipdatekey") < 20000101)
     return first
+
+
+def moved_first_load_sheets(t: Tables) -> dict[str, DataFrame]:
+    """The same, where all real customers lived elsewhere and products had another price."""
+    first = first_load_sheets(t)
+    real = F.col("customerkey") != NOT_APPLICABLE_KEY
+    first["Customer_data"] = first["Customer_data"].withColumn("city", F.when(real, "Elsewhere").otherwise(F.col("city")))
+    first["Product_data"] = first["Product_data"].withColumn("list_price", F.col("list_price") + 1)
+    return first

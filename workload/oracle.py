@@ -118,6 +118,10 @@ CTES = {
         select c_custkey as customerkey, c_name as customer, nullif(c_mktsegment, 'BUILDING') as segment,
                c_acctbal + (case when c_nationkey between 5 and 9 then 1 else 0 end) as balance
         from customer where c_acctbal >= 0""",
+    "customer_versions": """
+        select c_custkey as customerkey, c_name as customer, nullif(c_mktsegment, 'BUILDING') as segment,
+               if(c_nationkey % 3 = 0, c_acctbal + 5, c_acctbal + if(c_nationkey between 5 and 9, 1, 0)) as balance
+        from customer where c_acctbal >= 0""",
     "staged_dates": f"""
         select {yyyymmdd('o_orderdate')} as datekey, o_orderdate as date, {LOADED} as update_ts from orders""",
     "captured_customers": """
@@ -293,6 +297,27 @@ NEWEST_OF_ALL = f"""
            and contains(sales_order_line, (salesorderlinekey // 1000)::varchar) as valid
     from labels order by {LABEL_NEWEST}"""
 
+# As before, but customers and products have a version of each load as well.
+MOVED = TWICE_LOADED | {
+    "newest_labels": f"select * from ({NEWEST_OF_ALL}) where valid",
+    "newest_customers": "select distinct on (customerkey) * from customers order by customerkey, update_ts desc",
+    "newest_products": "select distinct on (productkey) * from products order by productkey, update_ts desc",
+    "dim_customer": """
+        select * replace ('Elsewhere' as city), date '2000-01-01' as valid_from, date '2000-12-31' as valid_to
+        from newest_customers where customerkey <> -1
+        union all
+        select *, date '2001-01-01' as valid_from, date '3000-01-01' as valid_to
+        from newest_customers where customerkey <> -1
+        union all
+        select *, date '2000-01-01' as valid_from, date '3000-01-01' as valid_to
+        from newest_customers where customerkey = -1""",
+    "dim_product": """
+        select * replace (list_price + 1 as list_price), date '2000-01-01' as valid_from, date '2000-12-31' as valid_to
+        from newest_products
+        union all
+        select *, date '2001-01-01' as valid_from, date '3000-01-01' as valid_to from newest_products""",
+}
+
 STEPS = """
     select 'load src_sales_order_data_temp' as procedure_name, 'OK' as status, 1 as n_records, n_labels as n_rows from n
     union all select 'load src_sales_territory_data_temp', 'OK', 1, n_territories from n
@@ -327,6 +352,19 @@ ORACLE: dict[str, str] = {
                                and coalesce(e.segment, '') = coalesce(s.segment, '') and e.balance = s.balance)
            group by all"""
     ),
+    "new_or_changed_latest": sql(
+        """select customerkey, s.customer, s.segment, s.balance, max(update_ts) as update_ts
+           from staged_customers s left join customer_versions v using (customerkey)
+           where not coalesce(v.customer = s.customer and v.segment = s.segment and v.balance = s.balance, false)
+           group by all"""
+    ),
+    "new_or_changed_latest_null_default": sql(
+        """select customerkey, s.customer, s.segment, s.balance, max(update_ts) as update_ts
+           from staged_customers s left join customer_versions v using (customerkey)
+           where not coalesce(v.customer = s.customer and coalesce(v.segment, '') = coalesce(s.segment, '')
+                              and v.balance = s.balance, false)
+           group by all"""
+    ),
     "new_or_changed_by_key": sql("select * from captured_dates"),
     "changed_rows": sql("select table_name, cast(rows_changed as bigint) as rows_changed from counts"),
     "changed_rows_json": sql(
@@ -442,5 +480,6 @@ ORACLE: dict[str, str] = {
         newest_of_all=NEWEST_OF_ALL,
     ),
     "stored_reseller_dim": sql("select * from dim_reseller", **TWICE_LOADED),
+    "incremental_mart": sql(MART, **MOVED),
     "stored_mart": sql(MART, **TWICE_LOADED | {"newest_labels": f"select * from ({NEWEST_OF_ALL}) where valid"}),
 }

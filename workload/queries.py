@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import normalized
 from tidemark.operators import checks
-from tidemark.operators.changes import changed_counts, counts_as_json, new_or_changed, tables_to_refresh
+from tidemark.operators.changes import LATEST, changed_counts, counts_as_json, new_or_changed, tables_to_refresh
 from tidemark.operators.labels import newest_order_labels, valid_order_labels
 from tidemark.operators.latest import newest_per_key, sales_fact
 from tidemark.operators.pit_join import pit_join
@@ -58,6 +58,19 @@ def new_or_changed_null_default(t: Tables) -> DataFrame:
     return new_or_changed(i.customer_staging(t), i.earlier_customers(t), null_defaults={"segment": ""})
 
 
+@query
+def new_or_changed_latest(t: Tables) -> DataFrame:
+    """Against each customer's newest version: returns to old values are captured too."""
+    return new_or_changed(i.customer_staging(t), i.customer_versions(t), key="customerkey", against=LATEST)
+
+
+@query
+def new_or_changed_latest_null_default(t: Tables) -> DataFrame:
+    return new_or_changed(
+        i.customer_staging(t), i.customer_versions(t), null_defaults={"segment": ""}, key="customerkey",
+        against=LATEST)
+
+
 @query
 def new_or_changed_by_key(t: Tables) -> DataFrame:
     dates = i.order_dates(t)
@@ -376,6 +389,16 @@ def stored_mart(t: Tables) -> DataFrame:
     return store.table(MART_TABLE)
 
 
+@query
+def incremental_mart(t: Tables) -> DataFrame:
+    """The mart after a second load that also brings new versions of old customers and of products: only the parts
+    of the stored tables that it touches are replaced."""
+    store = Store(t.spark, f"warehouse_{uuid.uuid4().hex}", rows_per_file=500).create()
+    run(store, i.moved_first_load_sheets(t), FIRST_LOAD)
+    run(store, i.sheets(t), SECOND_LOAD, as_of=AS_OF)
+    return store.table(MART_TABLE)
+
+
 @query
 def stored_reseller_dim(t: Tables) -> DataFrame:
     """One dimension from sheet to table, loaded twice."""
