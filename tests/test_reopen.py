@@ -3,12 +3,17 @@
 import os
 import subprocess
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 
-from tidemark.schemas import AUDIT_TABLE, MART_TABLE, RESELLER, SALES, SALES_ORDER
-from tidemark.sources.store import Store
+from tidemark.schemas import AUDIT_TABLE, MART_TABLE, RESELLER, SALES, SALES_ORDER, TERRITORY
+from tidemark.sources.sheets import stamp
+from tidemark.sources.store import KeyCheckFailed, Store
+
+TERRITORY_COLUMNS = "salesterritorykey bigint, region string, country string, `group` string"
 
 ROOT = Path(__file__).resolve().parent.parent
 LOAD = """
@@ -93,3 +98,47 @@ def test_labels_from_elsewhere_are_merged_with_the_whole_history(spark, tmp_path
     assert store.included(SALES_ORDER.target) == 0
     refresh_dim(store, AuditLog(store), SALES_ORDER.target, far.date())
     assert store.included(SALES_ORDER.target) == 0
+
+
+def test_one_of_many_writers_gets_a_number(spark, tmp_path):
+    stores = [Store(spark, "contended", str(tmp_path)) for _ in range(6)]
+    with ThreadPoolExecutor(len(stores)) as pool:
+        for number in range(1, 31):
+            start = Barrier(len(stores))
+
+            def note(store):
+                start.wait()
+                try:
+                    store._note("numbers", number, {"by": id(store)})
+                    return 1
+                except FileExistsError:
+                    return 0
+
+            assert sum(pool.map(note, stores)) == 1
+    assert sorted(stores[0]._notes("numbers")) == list(range(1, 31))
+    names = [p.name for p in (tmp_path / "contended" / "_notes" / "numbers").iterdir()]
+    assert not any(n.endswith(".new") for n in names)
+
+
+def test_no_load_is_lost_between_writers_of_one_moment(spark, make, tmp_path):
+    import datetime as dt
+
+    stores = [Store(spark, "crowded", str(tmp_path)).create() for _ in range(4)]
+    for turn in range(2):
+        start = Barrier(len(stores))
+
+        def load(k):
+            rows = make([(10 * turn + k, "a", "b", "c")], TERRITORY_COLUMNS)
+            start.wait()
+            return stores[k].append_history(TERRITORY, stamp(rows, dt.datetime(2025, 1, 1 + turn)))
+
+        with ThreadPoolExecutor(len(stores)) as pool:
+            assert list(pool.map(load, range(len(stores)))) == [1] * len(stores)
+    assert stores[0].last_load(TERRITORY) == 8
+    again = Store(spark, "crowded", str(tmp_path)).create()
+    keys = [r[0] for r in again.table(TERRITORY.history_table).collect()]
+    assert sorted(keys) == [0, 1, 2, 3, 10, 11, 12, 13]
+    again.append_history(TERRITORY, stamp(make([(1, "x", "b", "c")], TERRITORY_COLUMNS), dt.datetime(2025, 2, 1)))
+    with pytest.raises(KeyCheckFailed):  # the other writer's load has this key and stamp
+        stores[0].append_history(
+            TERRITORY, stamp(make([(1, "y", "b", "c")], TERRITORY_COLUMNS), dt.datetime(2025, 2, 1)))

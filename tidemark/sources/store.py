@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,9 @@ from tidemark.session import shared_dir
 #: Spark's limit.
 MOST_BUCKETS = 100_000
 PARTITIONS_AT_ONCE = 200
+OBJECT_STORES = ("s3", "s3a", "gs", "abfs", "abfss", "wasb", "wasbs", "oss")
+#: Times that a load looks for the next free number.
+TRIES = 100
 
 
 class KeyCheckFailed(Exception):
@@ -102,26 +106,40 @@ class Store:
     def append_history(self, entity: Entity, batch: DataFrame) -> int:
         """Adds a batch to a history as one numbered load, once its keys are checked; returns the rows added.
 
-        Of two loads at the same time, the second fails to add its number and can be repeated.
+        Of two loads at the same time, the second finds its number taken, checks its keys against the first and takes
+        the next number; neither is lost.
         """
-        number = self.last_load(entity) + 1
-        path = f"{self.folder}/{entity.history_table}_loads/{number}_{uuid.uuid4().hex}"
+        name = f"{entity.history_table}_loads"
+        path = f"{self.folder}/{name}/{uuid.uuid4().hex}"
         batch.select(*entity.history_schema.names).write.parquet(path)
         written = self.spark.read.schema(entity.history_schema).parquet(path)
         try:
             rows = self._check(entity.history_table, written, entity.history_key)
-            if rows:
-                self._check_new(entity, written)
-                self._note(f"{entity.history_table}_loads", number, {"folder": path})
+            number = self._add_to_history(entity, written, name, path) if rows else 0
         except Exception:
             self._delete(path)  # no one will read this batch
             raise
         if rows:
-            self._add_load(f"{entity.history_table}_loads", number, path)
+            self._add_load(name, number, path)
         else:
             self._delete(path)
         return rows
 
+    def _add_to_history(self, entity: Entity, written: DataFrame, name: str, path: str) -> int:
+        for last_try in [False] * (TRIES - 1) + [True]:
+            notes = self._notes(name)
+            for number, note in notes.items():  # loads of other writers, which this session has not seen yet
+                self._add_load(name, number, note["folder"])
+            self._check_new(entity, written)
+            number = max(notes, default=0) + 1
+            try:
+                self._note(name, number, {"folder": path})
+                return number
+            except FileExistsError:
+                if last_try:
+                    raise
+        raise AssertionError("unreachable")
+
     def last_load(self, entity: Entity) -> int:
         return max(self._notes(f"{entity.history_table}_loads"), default=0)
 
@@ -330,15 +348,48 @@ class Store:
         return out
 
     def _note(self, name: str, number: int, note: dict) -> None:
-        """Written aside and renamed, which fails if the number is taken."""
+        """Adds a note, whole or not at all, and fails if the number is taken.
+
+        It is written aside and then given its name in one step that never replaces: a hard link on a local disk, a
+        rename elsewhere, which HDFS refuses if the name is taken. Object stores have no such rename, but their
+        uploads appear as a whole, and ``create`` without overwriting asks for a conditional one.
+        """
         path, files = self._path(f"{self.folder}/_notes/{name}/{number:012d}.json")
+        taken = FileExistsError(f"{self.database}.{name}: another writer was faster")
+        text = json.dumps(note).encode()
+        scheme = files.getUri().getScheme()
+        if scheme in OBJECT_STORES:
+            if files.exists(path):
+                raise taken
+            self._write(files, path, text, taken)
+            return
         aside, _ = self._path(f"{self.folder}/_notes/{name}/{uuid.uuid4().hex}.new")
-        stream = files.create(aside, False)
-        stream.write(json.dumps(note).encode())
-        stream.close()
-        if files.exists(path) or not files.rename(aside, path):
+        self._write(files, aside, text, taken)
+        if scheme == "file":
+            jvm = self.spark.sparkContext._jvm
+            here, there = (jvm.java.io.File(p.toUri().getPath()).toPath() for p in (aside, path))
+            try:
+                jvm.java.nio.file.Files.createLink(there, here)
+            except Py4JJavaError as error:
+                if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                    raise taken from None
+                raise
+            finally:
+                files.delete(aside, False)
+        elif files.exists(path) or not files.rename(aside, path):
             files.delete(aside, False)
-            raise FileExistsError(f"{self.database}.{name}: another writer was faster")
+            raise taken
+
+    @staticmethod
+    def _write(files, path, text: bytes, taken: FileExistsError) -> None:
+        try:
+            stream = files.create(path, False)
+            stream.write(text)
+            stream.close()
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                raise taken from None
+            raise
 
     def _delete(self, path: str) -> None:
         path, files = self._path(path)
