@@ -37,6 +37,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows under names of their own, which no helper column has, and which name each column got.
+
+    An operator that works on these and gives them their names back at the end bears any extra columns.
+    """
+    names = {c: f"own_column_{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this library's modules to the Python workers, once per application, where it is not installed there."""
     context = spark.sparkContext

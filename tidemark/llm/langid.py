@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
+
 UNDETERMINED = "und"
 PROFILE = 300
 #: Bits of a code point; three fit into one long.
@@ -170,7 +172,8 @@ def with_language(
     """
     cols = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower())]
     found = predicted(F.col(text), profiles)
+    both = free_name(docs, "language_found")
     return (
-        docs.select(*cols, found.alias("__language"))
-        .select(*cols, F.col("__language.lang").alias(lang), F.col("__language.score").alias(score))
+        docs.select(*cols, found.alias(both))
+        .select(*cols, F.col(f"{both}.lang").alias(lang), F.col(f"{both}.score").alias(score))
     )

@@ -14,12 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, free_name
+from tidemark.llm.common import cut, numbered
 
 SEED = 20260101
 #: Parts of a source by the order of its documents; only one of them is summed row by row.
 CELLS_LOG2 = 12
 BLOCK_ROWS = 4096
+PLACES = ("mix_epoch", "mix_block", "mix_place")
 WAYS = 16
 WHITE = r"[^\x20\x09-\x0D]+"
 
@@ -153,15 +154,22 @@ def mixed(docs: DataFrame, goal: Goal, id_col: str = "doc_id", source: str = "so
     Returns ``columns`` (all by default) and, with ``places``, mix_epoch, mix_block and mix_place: reading a source by
     these three gives a new permutation of its documents in each epoch. A block holds some 4096 rows of one source and
     epoch, dealt by hash, so a source of any size spreads over many tasks. The begun epoch takes documents in the order
-    of their keys while its budget lasts; rows equal in id and text are taken or left together. Null texts and texts
-    without words count no token. Texts are never cut, and not shuffled unless places are asked for.
+    of their keys while its budget lasts; rows equal in id and text are taken or left together, but dealt to blocks
+    each by itself, by its place in the input, so that copies spread however many they are. Null texts and texts
+    without words count no token. Texts are never cut, and not shuffled unless places are asked for. Columns that are
+    called like one of the three places are replaced by it; any other extra column stays as it is.
     """
-    columns = columns or docs.columns
+    columns = [c for c in columns or docs.columns if not places or c.lower() not in PLACES]
+    docs, own = numbered(docs)
+    id_col, source, text = own[id_col], own[source], own[text]
+    columns = [F.col(own[c]).alias(c) for c in columns]
     plan = mixture(docs, goal, id_col, source, text, seed).select(
         F.col("source").alias("p_source"), F.col("rows").alias("p_rows"), F.col("epochs").alias("p_epochs"),
         F.col("last_key").alias("p_last"))
-    key, epoch = free_name(docs, "mix_key"), free_name(docs, "mix_epoch")
+    key, epoch = "mix_key", "mix_epoch"
     keyed = docs.withColumn(key, _key(id_col, text, seed))
+    if places:
+        keyed = keyed.withColumn("copy", F.monotonically_increasing_id())
     joined = keyed.join(plan, keyed[source].eqNullSafe(plan.p_source))
     copies = F.col("p_epochs") + F.when(F.col(key) <= F.col("p_last"), 1).otherwise(0)
     taken = joined.where(copies > 0).withColumn(epoch, F.explode(F.sequence(F.lit(0), copies - 1)))
@@ -170,8 +178,9 @@ def mixed(docs: DataFrame, goal: Goal, id_col: str = "doc_id", source: str = "so
     order = F.when(F.col(epoch) < F.col("p_epochs"), F.xxhash64(F.lit(seed), epoch, key)).otherwise(F.col(key))
     blocks = F.ceil(F.col("p_rows") / BLOCK_ROWS)
     placed = (
-        taken.withColumn("__order", order).withColumn("mix_block", F.pmod(F.xxhash64("__order"), blocks).cast("int"))
+        taken.withColumn("mix_order", order)
+        .withColumn("mix_block", F.pmod(F.xxhash64("mix_order", "copy"), blocks).cast("int"))
     )
-    within = Window.partitionBy(source, epoch, "mix_block").orderBy("__order")
+    within = Window.partitionBy(source, epoch, "mix_block").orderBy("mix_order", "copy")
     return placed.withColumn("mix_place", F.row_number().over(within)).select(
         *columns, F.col(epoch).alias("mix_epoch"), "mix_block", "mix_place")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, free_name
+from tidemark.llm.common import cut, numbered
 
 #: Pages sharing at least this part of their lines are copies of each other, not siblings in a template.
 COPY = 0.8
@@ -332,9 +332,17 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", name: str
 
     Lines are joined by two line ends; nothing found is the empty string, as for null and empty html. Null urls are
     pages of one nameless host. Whole pages are read whatever their length. Pages alone on their host lose no line to
-    differencing. Repeated rows come back repeated; an empty table stays empty.
+    differencing. Repeated rows come back repeated; an empty table stays empty; extra columns may have any name.
     """
-    host, path, page, parsed = (free_name(pages, n) for n in ("page_host", "page_path", "page_hash", "page_parsed"))
+    others = [c for c in pages.columns if c.lower() != name.lower()]
+    pages, own = numbered(pages)
+    url, html = own[url], own[html]
+    others = [F.col(own[c]).alias(c) for c in others]
+    host, path, page, parsed = "page_host", "page_path", "page_hash", "page_parsed"
+
+    def named(made: DataFrame) -> DataFrame:
+        return made.select(*others, F.col("page_text").alias(name))
+
     keyed = (
         pages.withColumn(host, host_of(F.col(url))).withColumn(path, path_of(F.col(url)))
         .withColumn(page, F.xxhash64(F.col(html))))
@@ -343,13 +351,12 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", name: str
         read.select(F.col(host).alias("host"), F.col(path).alias("path"), F.col(page).alias("page"),
                     F.transform(f"{parsed}.lines", lambda x: F.xxhash64(x)).alias("hashes"),
                     F.col(f"{parsed}.marks").alias("marks")))
-    others = [c for c in pages.columns if c.lower() != name.lower()]
     lines, marks = F.col(f"{parsed}.lines"), F.col(f"{parsed}.marks")
     if compared.where(F.exists("marks", lambda m: ~m)).isEmpty():
-        return read.select(*others, F.array_join(lines, "\n\n").alias(name))
+        return named(read.withColumn("page_text", F.array_join(lines, "\n\n")))
     found = shared_by_nearest(compared).alias("found")
     kept = F.filter(lines, lambda x, k: F.element_at(marks, k + 1) | ~F.array_contains(
         F.coalesce(F.col("found.shared"), F.array().cast("array<int>")), k))
     same = (F.col(host) == F.col("found.host")) & (F.col(path) == F.col("found.path")) & (
         F.col(page) == F.col("found.page"))
-    return read.join(found, same, "left").select(*others, F.array_join(kept, "\n\n").alias(name))
+    return named(read.join(found, same, "left").withColumn("page_text", F.array_join(kept, "\n\n")))

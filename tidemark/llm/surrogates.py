@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, free_name
+from tidemark.llm.common import cut, free_name, numbered
 
 ROUNDS = 64
 #: From this attempt on a candidate is longer than the original, as its own format may be used up.
@@ -322,9 +322,12 @@ def surrogated(docs: DataFrame, key: str, text: str = "text", count: str = "n_re
     Null texts stay null, texts without entities stay as they are, whole texts of any length are searched, and
     repeated rows stay repeated. The same entity has the same surrogate everywhere: e-mail addresses in any case,
     numbers with any separators, names with any title or none (see above for which are found). Candidates that are not valid (a card number with a wrong check
-    digit) are left alone. Only texts that hold entities are shuffled. An empty table stays empty.
+    digit) are left alone. Only texts that hold entities are shuffled. An empty table stays empty, and extra columns may
+    have any name.
     """
-    found, digest, count = free_name(docs, "pii_found"), free_name(docs, "pii_text"), free_name(docs, count)
+    count, names = free_name(docs, count), {own: c for c, own in numbered(docs)[1].items()}
+    docs, own = numbered(docs)
+    text, found, digest = own[text], "pii_found", "pii_text"
     searched = docs.withColumn(found, matches(F.col(text)))
     held = searched.where(F.size(found) > 0).withColumn(digest, F.sha2(F.col(text), 256))
     with_name = F.exists(found, lambda m: m.rlike(f"{PATTERNS['name']}|{PATTERNS['person']}"))
@@ -375,9 +378,9 @@ def surrogated(docs: DataFrame, key: str, text: str = "text", count: str = "n_re
     has_any = F.col("written").isNotNull()
 
     def columns(body: Column, n: Column) -> list[Column]:
-        return [*(body.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), n.cast("int").alias(count)]
+        return [*(body.alias(c) if c == text else F.col(c) for c in docs.columns), n.cast("int").alias("pii_count")]
 
     clean = searched.where(F.size(found) == 0).select(*columns(F.col(text), F.lit(0)))
     changed = joined.select(*columns(
         F.when(has_any, new).otherwise(F.col(text)), F.when(has_any, number).otherwise(0)))
-    return clean.unionAll(changed)
+    return clean.unionAll(changed).select(*(F.col(c).alias(names[c]) for c in docs.columns), F.col("pii_count").alias(count))
