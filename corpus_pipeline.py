@@ -50,13 +50,15 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def sharded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents with size, text_crc32, law, shard and slot; rows are known by their place in their file."""
+    """The documents with size, text_crc32, law, shard and slot, which replace columns of these names; rows are known by
+    their place in their file."""
     file, row = free_name(docs, "from_file"), free_name(docs, "from_row")
     placed = docs.select(
         "*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
     shards = sharding.shard_rows(placed, SHARDS, keep=[file, row])
-    found = shards.select(file, row, *(c for c in shards.columns if c not in placed.columns))
-    return placed.join(found, [file, row]).drop(file, row)
+    new = [c for c in shards.columns if c not in (file, row, "doc_id")]
+    stay = [c for c in placed.columns if c.lower() not in new]
+    return placed.select(*stay).join(shards.select(file, row, *new), [file, row]).drop(file, row)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
