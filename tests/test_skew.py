@@ -67,8 +67,8 @@ def test_hot_fact_key_with_many_versions_is_matched_by_month(skewed):
     assert "_slot" in plan and "_dim_slot" in plan
 
 
-def test_long_list_of_dense_keys_is_looked_up_by_salt(skewed, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.bounds.SMALL_KEY_LIST", 0)
+def test_hot_key_beyond_the_list_of_dense_keys_is_split(skewed):
+    """Keys that the bounded list leaves out are joined plainly, and adaptive execution splits the hot one."""
     facts = skewed.withColumn("d", F.lit(dt.date(2020, 1, 1)))
     days = F.explode(F.sequence(F.lit(0), F.lit(3)))
     dim = skewed.where((F.col("id") % 4 == 0) | (F.col("id") == 1)).select("k", days.alias("n")).select(
@@ -77,9 +77,9 @@ def test_long_list_of_dense_keys_is_looked_up_by_salt(skewed, monkeypatch):
         F.date_add(F.lit(dt.date(2019, 12, 30)), F.col("n")).alias("valid_to"),
         F.col("n").alias("v"),
     )
-    rows, plan = collected(pit_join(facts, dim, "k", "d", dense_versions=3))
+    rows, plan = collected(pit_join(facts, dim, "k", "d", dense_versions=3, most_dense=0))
     assert len(rows) == ROWS and {r.v for r in rows} == {2}
-    assert "_salt" in plan and "BroadcastHashJoin" not in plan
+    assert "skew=true" in plan
 
 
 def test_hot_day_of_a_hot_key_is_split(skewed):
