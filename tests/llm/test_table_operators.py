@@ -25,7 +25,7 @@ def test_neighbours_against_brute_force(spark, make):
     rows += [(1000, None, 1), (1020, [0.0] * 8, 1), (1040, [float("nan")] * 8, 1), (1060, [1.0, None] * 4, 1),
              (1080, [1.0], 1), (None, rows[3][1], 1), rows[5]]
     table = make(rows, "vec_id long, embedding array<double>, score int")
-    got = neighbours.nearest(table, F.col("vec_id") % 20 == 0, k=7, block_rows=64, query_rows=8).collect()
+    got = neighbours.nearest(table, F.col("vec_id") % 20 == 0, k=7, block_rows=64).collect()
     found = {}
     for r in got:
         found.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)

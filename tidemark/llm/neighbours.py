@@ -133,33 +133,35 @@ def _top(scores: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: np.nda
     return ids[order], exact[order]
 
 
-def verify(ids: np.ndarray, vectors: np.ndarray, projected: np.ndarray, query_id: int, query: np.ndarray,
-           from_query: np.ndarray, bound: float, k: int, longest: float, quantile: float) -> tuple[np.ndarray, np.ndarray]:
+def verify(ids: np.ndarray, vectors: np.ndarray, far: np.ndarray, query_id: int, query: np.ndarray, bound: float,
+           k: int, longest: float, quantile: float) -> tuple[np.ndarray, np.ndarray]:
     """The k best rows of a block for a query: rows in order of projected distance until the stopping test holds.
 
-    ``bound`` is the k-th best score known so far from elsewhere; -inf if there is none.
+    ``far`` holds the rows' squared projected distances. ``bound`` is the k-th best score known so far from elsewhere;
+    -inf if there is none. Rows below it are left out, as they cannot be among the k best.
     """
-    far = ((projected - from_query) ** 2).sum(1)
-    order = np.argsort(far, kind="stable")
-    order = order[ids[order] != query_id]
     scale = longest / math.sqrt(float(query @ query))
+
+    def reach() -> float:
+        return math.inf if bound == -math.inf else quantile * max(0.0, 2 * longest**2 - 2 * bound * scale)
+
+    left = np.flatnonzero((far <= reach()) & (ids != query_id))
+    order = left[np.argsort(far[left], kind="stable")]
     scores = np.zeros(0)
-    for start in range(0, len(order), AT_ONCE):
-        if bound > -math.inf:
-            nearest = max(0.0, 2 * longest**2 - 2 * bound * scale)
-            if far[order[start]] > quantile * nearest:
-                break
-        scores = np.concatenate([scores, vectors[order[start : start + AT_ONCE]] @ query])
+    while len(scores) < len(order) and far[order[len(scores)]] <= reach():
+        more = order[len(scores) : len(scores) + max(AT_ONCE, len(scores))]
+        scores = np.concatenate([scores, vectors[more] @ query])
         if len(scores) >= k:
             bound = max(bound, float(np.partition(scores, len(scores) - k)[len(scores) - k]))
-    seen = order[: len(scores)]
-    return _top(scores, ids[seen], vectors[seen], query, k)
+    kept = np.flatnonzero(scores >= bound - 1e-9 * max(1.0, abs(bound))) if bound > -math.inf else np.arange(len(scores))
+    seen = order[kept]
+    return _top(scores[kept], ids[seen], vectors[seen], query, k)
 
 
 def nearest(
     rows: DataFrame, queries: Column, id_col: str = "vec_id", vector: str = "embedding", k: int = 20,
-    dims: int = 16, confidence: float = 0.99, block_rows: int = 4096, sample_rows: int = 65536, most_leaves: int = 4096,
-    query_rows: int = 8192, seed: int = SEED,
+    dims: int = 24, confidence: float = 0.9, block_rows: int = 4096, sample_rows: int = 65536, most_leaves: int = 4096,
+    seed: int = SEED,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner product for every row that ``queries`` marks.
 
@@ -169,8 +171,8 @@ def nearest(
     vector). With fewer candidates than k all come back; an empty table gives an empty result. Other columns are
     ignored.
 
-    ``sample_rows`` bounds the sample the tree is fitted to; every row is indexed. ``block_rows`` and ``query_rows``
-    are what a task holds at a time.
+    ``sample_rows`` bounds the sample the tree is fitted to; every row is indexed. A task holds some
+    ``block_rows`` rows of a leaf at a time, past which the queries that visit them stream.
     """
     spark = rows.sparkSession
     marked = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("vector"),
@@ -223,12 +225,10 @@ def nearest(
         own = np.searchsorted(leaves, tree.leaves(projection.of_rows(_matrix(v)))) if len(v) else np.zeros(0, int)
         return pd.DataFrame({"leaf": own, "parts": parts[own]})
 
-    chunks = max(1, math.ceil(asking.count() / query_rows))
     hashed = F.xxhash64(F.lit(seed + 1), "id")
-    blocks = (
-        points.withColumn("at", placed("v"))
-        .select("id", "v", F.col("at.leaf").alias("leaf"), F.pmod(hashed, F.col("at.parts")).alias("part"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
+    blocks = points.withColumn("at", placed("v")).select(
+        F.col("at.leaf").alias("leaf"), F.pmod(hashed, F.col("at.parts")).alias("part"), F.lit(False).alias("asks"), "id",
+        "v", F.lit(0.0).alias("bound"))
 
     def visits(first: bool):
         def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,35 +255,55 @@ def nearest(
                     q, leaf_at = np.repeat(q, n), np.repeat(leaf_at, n)
                     part = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
                     yield pd.DataFrame({
-                        "query_id": own["id"].to_numpy()[q], "q": pd.Series([vectors[k] for k in q], dtype=object),
-                        "bound": own["bound"].to_numpy()[q], "leaf": leaf_at, "part": part})
+                        "leaf": leaf_at, "part": part, "asks": True, "id": own["id"].to_numpy()[q],
+                        "v": pd.Series([vectors[j] for j in q], dtype=object), "bound": own["bound"].to_numpy()[q]})
 
         return route
 
-    def compare(key: tuple, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(held):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        ids, vectors = held["id"].to_numpy(), _matrix(held["v"])
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order]
-        at, q = projection.of_rows(vectors), _matrix(asked["q"])
-        from_query = projection.of_queries(q)
-        found = [
-            verify(ids, vectors, at, name, q[i], from_query[i], bound, k, longest, quantile)
-            for i, (name, bound) in enumerate(zip(asked["query_id"], asked["bound"], strict=True))]
-        n = [len(f[0]) for f in found]
-        return pd.DataFrame({
-            "query_id": np.repeat(asked["query_id"].to_numpy(), n), "vec_id": np.concatenate([f[0] for f in found]),
-            "score": np.concatenate([f[1] for f in found])})
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Batches come block by block, and within a block its rows before the queries that visit it."""
+        block, held, ready = None, [], None
+        for batch in batches:
+            place = batch[["leaf", "part"]].to_numpy()
+            asks = batch["asks"].to_numpy()
+            new = (place[1:] != place[:-1]).any(1) | (asks[1:] != asks[:-1])
+            cuts = [0, *(np.flatnonzero(new) + 1), len(batch)]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                if start == stop:
+                    continue
+                own = batch.iloc[start:stop]
+                if block != tuple(place[start]):
+                    block, held, ready = tuple(place[start]), [], None
+                ids, vectors = own["id"].to_numpy(), _matrix(own["v"])
+                if not asks[start]:
+                    held.append((ids, vectors))
+                    continue
+                if not held:
+                    continue
+                if ready is None:
+                    rows_ids, rows_vectors = (np.concatenate(part) for part in zip(*held, strict=True))
+                    order = np.argsort(rows_ids, kind="stable")
+                    rows_ids, rows_vectors = rows_ids[order], rows_vectors[order]
+                    at = projection.of_rows(rows_vectors)
+                    ready = rows_ids, rows_vectors, at, (at * at).sum(1)
+                rows_ids, rows_vectors, at, squares_at = ready
+                bounds = own["bound"].to_numpy()
+                for k0 in range(0, len(ids), AT_ONCE):
+                    asked = slice(k0, k0 + AT_ONCE)
+                    from_query = projection.of_queries(vectors[asked])
+                    far = squares_at - 2 * (from_query @ at.T) + (from_query * from_query).sum(1)[:, None]
+                    found = [
+                        verify(rows_ids, rows_vectors, far[i], name, q, bound, k, longest, quantile)
+                        for i, (name, q, bound) in enumerate(zip(ids[asked], vectors[asked], bounds[asked], strict=True))]
+                    yield pd.DataFrame({
+                        "query_id": np.repeat(ids[asked], [len(f[0]) for f in found]),
+                        "vec_id": np.concatenate([f[0] for f in found]), "score": np.concatenate([f[1] for f in found])})
 
     def visit(asks: DataFrame, first: bool) -> DataFrame:
-        chunk = F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")
         routed = asks.mapInPandas(
-            visits(first), "query_id long, q array<double>, bound double, leaf long, part long"
-        ).withColumn("chunk", chunk)
-        key = ["leaf", "part", "chunk"]
-        return cut(routed.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(compare, FOUND))
+            visits(first), "leaf long, part long, asks boolean, id long, v array<double>, bound double")
+        met = blocks.unionAll(routed).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "asks")
+        return cut(met.mapInPandas(compare, FOUND))
 
     none = F.lit(float("-inf"))
     near = visit(asking.select("id", "v", none.alias("bound")), first=True)
