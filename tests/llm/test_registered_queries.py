@@ -1,0 +1,138 @@
+"""Registered queries over a whole small folder, against plain code that shares nothing with the operators."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import simhash
+from tidemark.llm.common import cut, table
+from tidemark.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def documents(spark, folder):
+    return table(spark, folder, "documents").collect()
+
+
+def plain_words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(space, " ")
+    return [w for w in lowered.split(" ") if w]
+
+
+def crc(x):
+    return zlib.crc32(str(x).encode())
+
+
+def test_neighbours(spark, folder):
+    vectors = {r.vec_id: [float(x) for x in r.embedding] for r in table(spark, folder, "embeddings").collect()}
+    found = defaultdict(dict)
+    for r in QUERIES["op1_projected_neighbours"](spark, folder).collect():
+        found[r.query_id][r["rank"]] = (r.vec_id, r.score)
+    assert set(found) == {k for k in vectors if k % 20 == 0}
+    hits = 0
+    for q, ranks in found.items():
+        exact = {k: sum(a * b for a, b in zip(v, vectors[q], strict=True)) for k, v in vectors.items() if k != q}
+        best = sorted(exact, key=lambda k: (-exact[k], k))[:20]
+        assert sorted(ranks) == list(range(1, len(best) + 1))
+        assert all(abs(exact[k] - s) < 1e-12 for k, s in ranks.values())
+        hits += len(set(best) & {k for k, _ in ranks.values()})
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_scores(spark, folder, documents):
+    taught = Counter()
+    for d in documents:
+        if crc(d.doc_id) % 7 != 2:
+            taught.update([*plain_words(d.text), None])
+    total, distinct = sum(taught.values()), len(taught)
+    got = {r.doc_id: r for r in QUERIES["op4_attention_scores"](spark, folder).collect()}
+    assert len(got) == len(documents)
+    for d in documents:
+        tokens, r = [*plain_words(d.text), None], got[d.doc_id]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (crc(d.doc_id) % 7 == 2, len(tokens), total)
+        assert r.n_known == sum(taught[t] > 0 for t in tokens)
+        base = sum(math.log10((taught[t] + 1) / (total + distinct + 1)) for t in tokens)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert -math.inf < r.score < 0
+
+
+def test_chat(spark, folder):
+    turns = defaultdict(list)
+    for r in table(spark, folder, "conversations").orderBy("conv_id", "turn").collect():
+        turns[r.conv_id].append((r.role, r.text or ""))
+    turns[-7] = [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
+    got = {r.conv_id: r for r in QUERIES["op5_chat_parts"](spark, folder).collect()}
+    assert set(got) == set(turns)
+    for name, own in turns.items():
+        loss = "".join(text for role, text in own if role == "assistant")
+        r = got[name]
+        assert (r.n_turns, r.loss_chars) == (len(own), len(loss))
+        assert r.turns_sha256 == sha256("".join(f"{role}\n{text}\n" for role, text in own).encode()).hexdigest()
+        assert r.loss_sha256 == sha256(loss.encode()).hexdigest()
+
+
+def test_shards(spark, folder, documents):
+    texts = {d.doc_id: (d.text or "").encode() for d in documents}
+    rows = QUERIES["op7_label_propagation_shards"](spark, folder).collect()
+    slots, sizes = defaultdict(list), Counter()
+    for r in rows:
+        assert (r.size, r.text_crc32) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id]))
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r.size
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and set(slots) <= set(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    [law] = {r.law for r in rows}
+    counts = [len(slots[k]) for k in range(16)]
+    assert max(counts) - min(counts) <= 1 if law == "rows" else law == "bytes"
+
+
+def test_near_duplicates(spark, folder, documents):
+    prints = {}
+    for d in documents:
+        words = plain_words(d.text)
+        pieces = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))] if words else []
+        hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in pieces]
+        prints[d.doc_id] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    root = {}
+    for name in sorted(prints):
+        todo = [name] if name not in root else []
+        while todo:
+            k = todo.pop()
+            root[k] = name
+            near = [j for j in prints if j not in root and (prints[j] ^ prints[k]).bit_count() <= 4]
+            root.update(dict.fromkeys(near, name))
+            todo += near
+    got = QUERIES["op9_ball_simhash"](spark, folder).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in got} == {
+        (k, f"{v:016x}", root[k]) for k, v in prints.items()}
+
+
+def test_a_hot_key_can_be_split(spark, make, monkeypatch):
+    """Joins on a component's root and on a node read both sides from shuffles, so adaptive execution splits hot keys."""
+    asked = []
+
+    def recorded(df):
+        asked.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(simhash, "cut", recorded)
+    monkeypatch.setattr(simhash, "ball_links", lambda prints, *_: prints.select(F.lit(0).cast("long").alias("a"), F.col("fp").alias("b")))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = simhash.near_duplicates(make([(k, f"text {k}") for k in range(90)] + [(99, "")], "doc_id long, text string"))
+        asked.append(rows._jdf.queryExecution().executedPlan().toString())
+        assert {r.component_id for r in rows.collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for key in ("root#", "u#", "fp#"):
+        joins = [p for p in asked if any("SortMergeJoin [" + key in line for line in p.splitlines())]
+        assert joins
+        assert any(p.count(f"hashpartitioning({key}") >= 2 for p in joins), joins

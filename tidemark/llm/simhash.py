@@ -164,6 +164,15 @@ def ball_links(prints: DataFrame, radius: int = 4, parts: int = 2, bucket: int =
     return links.union(_whole_links(keys.join(large, ["part", "variant"]).select("fp").distinct(), radius)).distinct()
 
 
+def _apart(one_each: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one a key, written in another partitioning than the key's.
+
+    A join on the key then reads both sides from shuffles of their own, which is what adaptive execution needs to split
+    a key that holds a third of the other side's rows.
+    """
+    return cut(one_each.repartition(*columns))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b): the smallest node reachable.
 
@@ -174,6 +183,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges if small else edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         side = both.select(F.col("b").alias("u"), F.col("a").alias("v"))
         least = side.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = _apart(least, "u", "m")
         met = side.join(least, "u")
         if small:
             pairs = met.select("m", F.col("v").alias("x")).union(least.select("m", F.col("u").alias("x")))
@@ -216,8 +226,8 @@ def near_duplicates(
         prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(named, "root").select("fp", "root", "component_id")
+    named = _apart(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root", "component_id")
+    known = cut(rooted.join(named, "root").select("fp", "root", "component_id"))
     return slim.join(known, "fp").select(
         F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id", "root", "text_hash")
 
