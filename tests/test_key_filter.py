@@ -1,0 +1,101 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import bounds, changes
+from tidemark.operators.changes import ANY, LATEST, new_or_changed
+from tidemark.operators.key_filter import LEAST_BITS_PER_KEY, MOST_BITS, filter_bits, key_filter
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_all_keys_pass_and_few_others(spark, kind):
+    keys = spark.range(20_000).select((F.col("id") * 7).cast(kind).alias("k"))
+    other = spark.range(200_000).select((F.col("id") * 7).cast(kind).alias("k"), (F.col("id") < 20_000).alias("mine"))
+    may = key_filter(keys, F.col("k"), 20_000)
+    passed = dict(other.where(may(F.col("k"))).groupBy("mine").count().collect())
+    assert passed[True] == 20_000
+    assert passed.get(False, 0) < 0.04 * 180_000
+
+
+def test_null_and_no_keys(make):
+    none = make([], "k bigint")
+    table = make([(1,), (None,)], "k bigint")
+    assert table.where(key_filter(none, F.col("k"), 0)(F.col("k"))).count() == 0
+    with_null = make([(None,)], "k bigint")
+    assert [r.k for r in table.where(key_filter(with_null, F.col("k"), 1)(F.col("k"))).collect()] == [None]
+
+
+def test_sizes():
+    assert filter_bits(0) == 1 << 16
+    assert filter_bits(1_000_000) == 1 << 24
+    assert filter_bits(MOST_BITS // LEAST_BITS_PER_KEY) == MOST_BITS
+    assert filter_bits(MOST_BITS // LEAST_BITS_PER_KEY + 1) is None
+
+
+@pytest.fixture
+def batch(spark):
+    """A twentieth of the keys staged, half of them changed; text keys, some without a value."""
+    at = F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz")
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("K"), "id").alias("k"), F.when(F.col("id") % 11 != 0, F.col("id") % 13).alias("v"),
+        at.alias("update_ts"), "id")
+    staged = rows.where("id < 2000").withColumn("v", F.when(F.col("id") % 2 == 0, F.col("v")).otherwise(F.lit(99)))
+    return staged.drop("id"), rows.drop("id")
+
+
+@pytest.mark.parametrize("against", [ANY, LATEST])
+@pytest.mark.parametrize("defaults", [None, {"v": -1}])
+def test_capture_finds_the_same_rows(batch, against, defaults):
+    staged, history = batch
+    options = dict(null_defaults=defaults, key="k", against=against)
+    expected = sorted(map(str, new_or_changed(staged, history, **options).collect()))
+    assert sorted(map(str, new_or_changed(staged, history, staged_rows=2000, **options).collect())) == expected
+    assert expected
+
+
+def test_the_historys_shuffle_shrinks(spark, batch):
+    staged, history = batch
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = new_or_changed(staged, history, key="k", staged_rows=2000)
+        df.collect()
+        stages = spark._jvm.scala.jdk.javaapi.CollectionConverters
+        written = {}
+
+        def walk(node):
+            name = node.nodeName()
+            if name == "AdaptiveSparkPlan":
+                return walk(node.executedPlan())
+            if "QueryStage" in name:
+                return walk(node.plan())
+            if name == "Exchange":
+                written[node.simpleString(200)] = node.metrics().get("shuffleRecordsWritten").get().value()
+            for child in stages.asJava(node.children()):
+                walk(child)
+
+        walk(df._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(written) >= 2
+    assert all(n < 4000 for n in written.values()), written  # of 40,000 rows of the history
+
+
+def test_building_starts_no_job(spark, batch):
+    staged, history = batch
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building a filter", "")
+    try:
+        new_or_changed(staged, history, key="k", staged_rows=2000)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("building a filter")) == 0
+
+
+def test_a_small_list_of_numbers_is_still_joined(make, monkeypatch):
+    schema = "k bigint, v string, update_ts timestamp_ntz"
+    staged = make([(1, "a", dt.datetime(2025, 1, 1)), (2, "b", dt.datetime(2025, 1, 1))], schema)
+    history = make([(1, "a", dt.datetime(2024, 1, 1))], schema)
+    monkeypatch.setattr(changes, "key_filter", None)  # would fail if it were called
+    assert [r.k for r in new_or_changed(staged, history, key="k", staged_rows=2).collect()] == [2]
+    assert bounds.SMALL_KEY_LIST == 1_000_000
