@@ -34,6 +34,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
     parser.add_argument("--min-changed", type=int, default=2)
     parser.add_argument("--against", choices=(ANY, LATEST), default=ANY, help="versions a staged row is compared with")
     parser.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="reader option")
+    parser.add_argument("--rejects", action="store_true", help="set bad rows of CSV sheets aside")
     options = parser.parse_args(arguments)
 
     spark = configure(SparkSession.builder.appName("tidemark")).getOrCreate()
@@ -44,7 +45,9 @@ def main(arguments: Sequence[str] | None = None) -> int:
         for e in SHEET_ORDER
     }
     store = Store(spark, options.database, options.folder).create()
-    result = run(store, sheets, options.load_ts or utc_now(), min_changed=options.min_changed, against=options.against)
+    result = run(
+        store, sheets, options.load_ts or utc_now(), min_changed=options.min_changed, against=options.against,
+        rejects=options.rejects)
     print(json.dumps(asdict(result)))
     return int(ERROR in (result.status, result.mart_status))
 

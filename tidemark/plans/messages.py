@@ -30,3 +30,7 @@ MART_OK = "Sales datamart refreshed successfully"
 MART_FAILED = "Refresh failed: {error}"
 MART_COMPLETED = "sp_refresh_sales_datamart completed"
 MART_PROCEDURE_FAILED = "sp_refresh_sales_datamart failed: {error}"
+
+# Of bad rows that were set aside; recorded only if this was asked for.
+REJECT = "reject rows of {table}"
+REJECTED = "{rows} rows set aside in {rejected}"

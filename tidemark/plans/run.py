@@ -14,6 +14,7 @@ from tidemark.plans.refresh import refresh_changed, refresh_mart
 from tidemark.plans.upload import upload_src
 from tidemark.schemas import SHEET_ORDER
 from tidemark.sources.audit import ERROR, OK, AuditLog
+from tidemark.sources.rejects import read_checked
 from tidemark.sources.sheets import normalize_columns, read_sheet, stamp
 from tidemark.sources.store import Store
 
@@ -37,17 +38,21 @@ def run(
     min_changed: int = 2,
     audit: AuditLog | None = None,
     against: str = ANY,
+    rejects: bool = False,
 ) -> Run:
     """Loads all sheets, each a DataFrame or a path, its format and perhaps reader options, and brings the warehouse up to date.
 
     A sheet that cannot be staged is recorded, the other sheets are still staged, and nothing is uploaded. A sheet
     that is not there ends the run. ``against`` is that of change capture. The mart is refreshed in any case, and its status kept apart.
+
+    With ``rejects`` bad rows of CSV sheets that are given by path do not fail their sheet: they are kept beside the
+    staging table, in one of its name and ``_rejected``, and the audit has their number.
     """
     audit = audit or AuditLog(store)
     result = Run()
     begin = audit.now()
     try:
-        staged = _stage_sheets(store, audit, sheets, load_ts, result, begin)
+        staged = _stage_sheets(store, audit, sheets, load_ts, result, begin, rejects)
         audit.flush()  # a long run can be followed, and what was done is on record should the driver be lost
         if result.status == OK:
             _upload_and_refresh(store, audit, staged, as_of or load_ts.date(), min_changed, result, against)
@@ -68,15 +73,27 @@ def run(
 
 
 def _stage_sheets(
-    store: Store, audit: AuditLog, sheets: Mapping[str, Sheet], load_ts: dt.datetime, result: Run, begin: dt.datetime
+    store: Store, audit: AuditLog, sheets: Mapping[str, Sheet], load_ts: dt.datetime, result: Run, begin: dt.datetime,
+    rejects: bool,
 ) -> dict[str, int]:
     staged: dict[str, int] = {}
     for entity in SHEET_ORDER:
         sheet = sheets[entity.sheet]
-        df = sheet if isinstance(sheet, DataFrame) else read_sheet(store.spark, *sheet[:2], **dict(*sheet[2:]))
+        rejected = None
+        if isinstance(sheet, DataFrame):
+            df = sheet
+        elif rejects and sheet[1] == "csv":
+            checked = read_checked(store.spark, sheet[0], entity.schema, **dict(*sheet[2:]))
+            df, rejected = checked.accepted, checked.rejected
+        else:
+            df = read_sheet(store.spark, *sheet[:2], **dict(*sheet[2:]))
         table = entity.staging_table
         start = audit.now()
         try:
+            if rejected is not None:
+                aside = f"{table}_rejected"
+                rows = store.stage(aside, rejected)
+                audit.add(m.REJECT.format(table=table), start, OK, m.REJECTED.format(rows=rows, rejected=aside), rows)
             staged[table] = store.stage(table, stamp(normalize_columns(df), load_ts))
             result.rows_loaded += staged[table]
             audit.add(m.LOAD.format(table=table), start, OK, m.LOADED.format(table=table), staged[table])

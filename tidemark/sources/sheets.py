@@ -57,18 +57,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(_converted(df.schema[f.name], f.dataType).alias(f.name) for f in schema))
 
 
+def fitted(value: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column, str]:
+    """A value that is not NULL in the type ``target``, whether it fits that type, and what the type asks for."""
+    if isinstance(target, T.LongType) and not isinstance(source, T.IntegralType):
+        number = value.try_cast(T.DecimalType(38, 10))
+        whole = number.try_cast("long")
+        return whole, number == whole, "a whole number"
+    converted = value.try_cast(target)
+    return converted, converted.isNotNull(), f"a {target.simpleString()}"
+
+
 def _converted(source: T.StructField, target: T.DataType) -> Column:
     value = _quoted(source.name)
     if isinstance(source.dataType, (T.DoubleType, T.FloatType)):
         value = F.when(~F.isnan(value), value)
-    if isinstance(target, T.LongType) and not isinstance(source.dataType, T.IntegralType):
-        number = value.cast(T.DecimalType(38, 10))
-        good, converted, wanted = number == number.cast("long"), number.cast("long"), "a whole number"
-    else:
-        converted = value.cast(target)
-        good, wanted = converted.isNotNull(), f"a {target.simpleString()}"
-        if target == source.dataType:
-            return converted
+    if target == source.dataType:
+        return value
+    converted, good, wanted = fitted(value, source.dataType, target)
     error = F.raise_error(F.concat(F.lit(f"{source.name} is not {wanted}: "), value.cast("string")))
     return F.when(value.isNull() | good, converted).otherwise(error.cast(target))
 

@@ -463,6 +463,20 @@ ORACLE: dict[str, str] = {
                p_type as subcategory, cast(p_size as varchar) as category,
                timestamp '2000-06-01 00:00:00' as update_ts
         from part""",
+    "rejected_rows": """
+        select * from (
+            select p_partkey // 1000 as thousand,
+                   1 + row_number() over (partition by p_partkey // 1000 order by p_partkey) as source_line,
+                   p_partkey || ',P-' || p_partkey ||
+                   case when p_partkey % 53 = 0 then ''
+                        when p_partkey % 89 = 0 then ',unknown' else ',' || p_size end as record,
+                   case when p_partkey % 53 = 0 then 'not 3 cells'
+                        when p_partkey % 89 = 0 then 'Standard Cost is not a double' end as problem
+            from part)
+        where problem is not null""",
+    "accepted_rows": """
+        select p_partkey as productkey, 'P-' || p_partkey as sku, cast(p_size as double) as standard_cost
+        from part where p_partkey % 53 <> 0 and p_partkey % 89 <> 0""",
     "published_fact": sql("select * from fact"),
     "audit_log": sql(
         "select procedure_name, status, cast(n_records as bigint) as n_records, cast(n_rows as bigint) as n_rows "

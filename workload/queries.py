@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.names import normalized
 from tidemark.operators import checks
@@ -27,6 +28,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import shared_dir
 from tidemark.sources.audit import AuditLog
+from tidemark.sources.rejects import read_checked
 from tidemark.sources.sheets import conform, normalize_columns, read_sheet, stamp
 from tidemark.sources.store import Store
 from workload import inputs as i
@@ -354,6 +356,38 @@ def csv_sheet(t: Tables) -> DataFrame:
     return conform(sheet, PRODUCT.history_schema)
 
 
+def exported_parts(t: Tables) -> str:
+    """Parts as CSV files of a thousand keys each, in order; some lines lack a cell, some have a word for a cost."""
+    path = f"{shared_dir(t.spark)}/sheet_{uuid.uuid4().hex}"
+    key = F.col("p_partkey")
+    cost = F.when(key % 89 == 0, "unknown").otherwise(F.col("p_size").cast("string"))
+    cells = F.concat_ws(",", key.cast("string"), F.concat(F.lit("P-"), key.cast("string")), F.when(key % 53 != 0, cost))
+    lines = t.part.select(F.floor(key / 1000).alias("thousand"), key.alias("place"), cells.alias("line"))
+    headers = lines.select("thousand").distinct().select(
+        "thousand", F.lit(-1).alias("place"), F.lit("ProductKey,SKU,Standard Cost").alias("line"))
+    (
+        lines.unionByName(headers).repartition("thousand").sortWithinPartitions("thousand", "place")
+        .select("thousand", "line").write.partitionBy("thousand").text(path)
+    )
+    return path
+
+
+@query
+def rejected_rows(t: Tables) -> DataFrame:
+    """What a checked read of a sheet sets aside, with its place and what is wrong."""
+    rejected = read_checked(t.spark, exported_parts(t), PRODUCT.schema).rejected
+    thousand = F.regexp_extract("source_file", "thousand=([0-9]+)", 1).cast("long")
+    return rejected.select(thousand.alias("thousand"), "source_line", "record", "problem")
+
+
+@query
+def accepted_rows(t: Tables) -> DataFrame:
+    """What it loads."""
+    accepted = normalize_columns(read_checked(t.spark, exported_parts(t), PRODUCT.schema).accepted)
+    schema = [f for f in PRODUCT.schema if f.name in accepted.columns]
+    return conform(accepted, StructType(schema))
+
+
 # --- stored tables and full runs ----------------------------------------------------------------------------------
 
 
