@@ -99,9 +99,24 @@ class Store:
         return self.spark.table(self._name(name))
 
     def stage(self, name: str, df: DataFrame) -> int:
-        """Replaces a staging table; returns its rows, counted from the written files' metadata."""
-        df.write.mode("overwrite").option("path", f"{self.folder}/{name}").saveAsTable(self._name(name))
-        return self.table(name).count()
+        """Replaces a staging table; returns its rows, counted from the written files' metadata.
+
+        The new rows are written aside, and become the table's in one step: a failure leaves what was staged before.
+        """
+        version, _ = self._current(name)
+        snapshot = f"{name}__{uuid.uuid4().hex}"
+        try:
+            df.write.option("path", f"{self.folder}/{snapshot}").saveAsTable(self._name(snapshot))
+            written = self.table(snapshot)
+            note = {"snapshot": snapshot, "columns": _columns(written.schema), "visible": written.columns,
+                    "includes": 0, "bucket_by": None, "buckets": None}
+            self._note(name, version + 1, note)
+        except Exception:
+            self._drop(snapshot)
+            raise
+        self._show(name, note)
+        self._forget(name, version + 1 - self.keep)
+        return written.count()
 
     def append_history(self, entity: Entity, batch: DataFrame) -> int:
         """Adds a batch to a history as one numbered load, once its keys are checked; returns the rows added.
@@ -249,8 +264,7 @@ class Store:
                 rows = self._check(name, written, key)
             self._note(name, version + 1, note)
         except Exception:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(snapshot)}")
-            self._delete(f"{self.folder}/{snapshot}")
+            self._drop(snapshot)
             raise
         self._show(name, note)
         self._forget(name, version + 1 - self.keep)
@@ -391,6 +405,11 @@ class Store:
                 raise taken from None
             raise
 
+    def _drop(self, snapshot: str) -> None:
+        """Of a table that no note names."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(snapshot)}")
+        self._delete(f"{self.folder}/{snapshot}")
+
     def _delete(self, path: str) -> None:
         path, files = self._path(path)
         files.delete(path, True)
