@@ -344,6 +344,7 @@ COHORTS = sql(
 
 ORACLE: dict[str, str] = {
     "new_or_changed_strict": sql("select * from captured_customers"),
+    "new_or_changed_filtered": sql("select * from captured_customers"),
     "new_or_changed_null_default": sql(
         """select customerkey, customer, segment, balance, max(update_ts) as update_ts
            from staged_customers s
