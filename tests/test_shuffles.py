@@ -68,6 +68,20 @@ def odd(make):
     )
 
 
+def test_newest_parts_and_customers_are_those_of_all_versions(odd):
+    parts = newest_per_key(i.described_parts(odd, i.newest_parts(odd)), "productkey")
+    assert same(parts, newest_per_key(i.product_history(odd), "productkey"))
+    customers = newest_per_key(i.described_customers(odd, i.newest_priorities(odd)), "customerkey").drop(i.TS)
+    assert same(customers, newest_per_key(i.customer_history(odd), "customerkey").drop(i.TS))
+
+
+def test_sheets_reduce_versions_to_the_newest_before_the_shuffle(spark, folder, large):
+    sheets = i.sheets(Tables(spark, folder))
+    for sheet, column in (("Product_data", "l_shipdate"), ("Customer_data", "o_orderdate")):
+        text = plan(sheets[sheet])
+        assert f"partial_max(struct({column}" in text and f", {column}, 8)" not in text
+
+
 def test_newest_lines_are_those_of_the_whole_history(odd):
     lines = i.sales_columns(newest_per_key(i.sales_lines(odd), "salesorderlinekey", tie_break=i.LINE_TIE_BREAK))
     assert same(lines, newest_per_key(i.sales_history(odd), "salesorderlinekey", tie_break=i.SALES_TIE_BREAK))
