@@ -94,3 +94,10 @@ def test_capture_of_sales_finds_the_newest_lines_once(spark, folder, large):
     written = [line for line in text[:text.index("Initial Plan")].splitlines() if "ReusedExchange" not in line]
     for key in ("salesorderlinekey", "l_orderkey"):
         assert sum(f"Exchange hashpartitioning({key}, 8)" in line for line in written) == 1
+
+
+def test_versions_of_parts_are_dealt_by_part_once(spark, folder, large):
+    """For the versions and for their days: the lines, the parts and the join of the two, and nothing else."""
+    text = plan(scd2_ranges(i.product_history(Tables(spark, folder)), "productkey"))
+    assert len(re.findall(r"Exchange hashpartitioning\((\w+), \d+\)", text)) == 4
+    assert text.count("Exchange hashpartitioning") == 6
