@@ -101,3 +101,11 @@ def test_versions_of_parts_are_dealt_by_part_once(spark, folder, large):
     text = plan(scd2_ranges(i.product_history(Tables(spark, folder)), "productkey"))
     assert len(re.findall(r"Exchange hashpartitioning\((\w+), \d+\)", text)) == 4
     assert text.count("Exchange hashpartitioning") == 6
+
+
+def test_wide_dimensions_come_last_and_places_are_combined_before(spark, folder, large):
+    text = plan(QUERIES["sales_mart"](spark, folder))
+    order = [text.index(f"Exchange hashpartitioning({key}, _slot") for key in ("productkey", "resellerkey", "customerkey")]
+    assert order == sorted(order)
+    above = text[:order[0]]
+    assert "city_combined" in above and "_customer_city" not in above and "_reseller_city" not in above
