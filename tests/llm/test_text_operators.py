@@ -1,6 +1,7 @@
 """Language, SimHash, string tiling, page differencing and attention, against brute force and odd input."""
 
 import random
+import sys
 from types import SimpleNamespace
 
 import numpy as np
@@ -225,6 +226,51 @@ def test_gradient():
         assert abs((loss(flat + step)[0] - loss(flat - step)[0]) / 2e-5 - grad[k]) < 1e-5
 
 
+def test_a_step_makes_few_calls_for_each_class():
+    shape = attention.Shape()
+    rng = np.random.default_rng(0)
+    windows = rng.integers(0, shape.known + 1, (192, attention.WINDOW + 1))
+    assert len(np.unique(windows[:, 1:] // attention.MEMBERS)) == shape.classes
+    calls = 0
+
+    def count(_frame, event, _arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    flat = attention.initial(shape)
+    sys.setprofile(count)
+    try:
+        attention.gradient(shape, flat, windows[:, :-1], windows[:, 1:], windows[:, 1:] >= 0)
+    finally:
+        sys.setprofile(None)
+    assert calls < 10 * shape.classes
+
+
+def test_training_is_adam_over_batches():
+    shape = attention.Shape(known=64, width=8, hidden=8, heads=2)
+    windows = np.random.default_rng(1).integers(0, 65, (6, attention.WINDOW + 1))
+    windows[0, 9:] = -1
+    start = attention.initial(shape).astype(np.float64)
+    own, expected, mean, square = np.maximum(windows, 0), start.copy(), 0.0, 0.0
+    for step in range(1, 6):
+        grad = attention.gradient(shape, expected, own[:, :-1], own[:, 1:], windows[:, 1:] >= 0)[1]
+        grad = grad * min(1.0, 1.0 / np.sqrt((grad**2).sum()))
+        mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
+        pace = 0.01 * min(1.0, step / 20) * (1 - step / 6)
+        expected = expected - pace * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    got = attention.train(shape, start, windows, 5, seed=0)
+    assert np.abs(got - start).max() > 1e-3 and np.allclose(got, expected, rtol=0, atol=1e-6)
+
+
+def test_gradient_without_counted_places_is_zero():
+    shape = attention.Shape(known=64, width=8, hidden=8, heads=2)
+    inputs = np.zeros((2, attention.WINDOW), np.int64)
+    for targets, counted in ((inputs, False), (inputs + shape.rest, True)):
+        loss, grad = attention.gradient(shape, attention.initial(shape), inputs, targets, np.full(inputs.shape, counted))
+        own = attention.unpacked(shape, grad)
+        assert (loss > 0) == counted and np.any(own["classes"]) == counted and not np.any(own["members"])
+
+
 def test_windows_score_each_place_once():
     lengths = np.array([1, 15, 16, 17, 28, 29, 100])
     places, scored = lm.windows_over(lengths)
