@@ -331,3 +331,42 @@ def test_every_window_is_trained_on_whatever_their_number(make, monkeypatch):
         seen.clear()
         lm._replica(SimpleNamespace(value=(np.zeros(3, np.float32), vocabulary)), 0, 1)((0,), frame)
         assert seen == [set(range(n))]
+
+
+def small_vocabulary():
+    return lm.Vocabulary(np.ones(lm.IDS), attention.Shape(known=64, width=8, hidden=8, heads=2))
+
+
+def test_windows_are_dealt_once_for_all_rounds(make, monkeypatch):
+    vocabulary, written, plans = small_vocabulary(), [], []
+    docs = make([(" ".join(f"w{k * j}" for j in range(200)),) for k in range(20)], "body string")
+    windows = lm.training_windows(docs, lm.tokenizer_path(), "body")
+    cut, frame = lm.cut, type(windows)
+    to_pandas = frame.toPandas
+    monkeypatch.setattr(lm, "cut", lambda df: (written.append(df), cut(df))[1])
+    monkeypatch.setattr(frame, "toPandas", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()),
+                                                       to_pandas(df))[1])
+    n = windows.count()
+    flat = lm.fitted(windows, vocabulary, n, replica_windows=40)
+    assert n > 200 and np.isfinite(flat).all() and len(flat) == len(attention.initial(vocabulary.shape))
+    assert len(written) == 1 and [p.count("Exchange") for p in plans] == [1] * lm.ROUNDS
+    assert (lm.fitted(windows, vocabulary, 0) == attention.initial(vocabulary.shape, vocabulary.shares)).all()
+
+
+def test_a_task_trains_each_replica_on_all_its_windows(monkeypatch):
+    seen, vocabulary = {}, small_vocabulary()
+    vocabulary.index[:] = np.arange(lm.IDS)
+
+    def train(shape, flat, windows, steps, seed, **_):
+        assert seed not in seen
+        seen[seed] = sorted(windows[:, 0].tolist())
+        return flat
+
+    monkeypatch.setattr(lm, "train", train)
+    ids = np.zeros((100, attention.WINDOW + 1), np.uint16)
+    ids[:, 0] = np.arange(100)
+    rows = pd.DataFrame({"ids": [row.tobytes() for row in ids], "replica": np.arange(100) % 3})
+    learn = lm._replicas(SimpleNamespace(value=(np.zeros(3, np.float32), vocabulary)), 0, 1)
+    assert [len(x) for x in learn(iter([rows[:50], rows[50:]]))] == [3, 3, 3]
+    assert seen == {k: list(range(k, 100, 3)) for k in range(3)}
+    assert not list(learn(iter([])))
