@@ -60,3 +60,7 @@ def test_versions_of_parts_and_customers_are_not_dealt_by_day(spark, folder, lar
     dealt, spread = (dimensions(t, EARLY_FLOOR, dealt) for dealt in (True, False))
     for name in ("product", "customer"):
         assert seen(dealt[name]) == seen(spread[name])
+
+
+def test_shuffles_are_compressed_well(spark):
+    assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"
